@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .plans.hits import hit_flatten
 from .plans.logs import log_etl
-from .plans.orders import order_enrich
+from .plans.orders import order_enrich, order_preview
 from .plans.sales import sales_by_sku
 from .sources import derived as D
 
@@ -179,3 +179,312 @@ FROM lineitem GROUP BY 1
 def q_sales_by_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PL11/H1: SUM(qty), SUM(qty*price) per SKU."""
     return sales_by_sku(D.sales(D.tables(spark, sf_dir).lineitem))
+
+
+# -- more whole-job variants ---------------------------------------------------------
+
+@register("order_preview", f"""
+SELECT amazonOrderId, buyerEmail, countryCode, city, order_date, lastUpdateDate, orderStatus,
+       SKU, orderItemId, quantity, price
+FROM (SELECT DISTINCT amazonOrderId, buyerEmail, countryCode, city, order_date, lastUpdateDate,
+             orderStatus, SKU, orderItemId, quantity, price
+      FROM ({SQL_ORDER_ROWS.replace("strftime(o.o_orderdate, '%Y-%m-%d') AS order_date",
+                                    "strftime(o.o_orderdate + INTERVAL 36 HOUR, '%Y-%m-%d') AS order_date")}) x) y
+ORDER BY orderItemId, SKU, price, quantity LIMIT 10
+""")
+def q_order_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL3 + B6: distinct after the address join only, lastUpdateDate, first 10
+    rows in a stated order (a top-k, not a full sort)."""
+    items, address, buyer, orders = _order_inputs(spark, sf_dir)
+    enriched = order_enrich(items, address, buyer, orders, date_col="lastUpdateDate",
+                            dedup="first")
+    return order_preview(enriched, 10, ["orderItemId", "SKU", "price", "quantity"])
+
+
+SQL_HITS_TAIL = """
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS log_timestamp,
+       'user' || CAST(user_id AS VARCHAR) AS log_user,
+       event_type || '-log' AS fields_log_type,
+       CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method,
+       CASE event_type WHEN 'view' THEN '[host-a, host-b]' WHEN 'error' THEN '[]'
+            ELSE 'host-' || event_type END AS hostname,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' AS "@timestamp",
+       '/' || event_type AS log_url,
+       'req-' || CAST(event_id AS VARCHAR) AS request_id,
+       '/' || event_type || '/' || CAST(event_id AS VARCHAR) AS message
+FROM events
+"""
+
+
+@register("hit_flatten_tail", SQL_HITS_TAIL)
+def q_hit_flatten_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL5: hits flattened, message tail after 'url=', request body left out."""
+    hits = D.search_hits(D.tables(spark, sf_dir).events)
+    df = hit_flatten(hits, body_schema=None, message_tail=True)
+    return df.drop("postData")
+
+
+def _log_no_date_sql() -> str:
+    return SQL_LOG_OUTPUT.replace(
+        """SELECT CASE WHEN log_timestamp IS NULL OR log_timestamp = '' THEN 'null_time'
+            ELSE split_part(log_timestamp, ' ', 1) END AS log_date,
+       log_timestamp,""", "SELECT log_timestamp,")
+
+
+@register("log_etl_records", _log_no_date_sql())
+def q_log_etl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL9 on parsed records: method/message filters, fields.log_type, tail."""
+    from .plans.logs import log_records_etl
+    recs = D.log_records(D.tables(spark, sf_dir).events)
+    recs = recs.withColumn("postData", F.to_json("postData"))
+    return log_records_etl(recs, with_log_date=False)
+
+
+# -- single operators ------------------------------------------------------------------
+
+from .functions import text as TX  # noqa: E402
+from .functions.jsoncols import decode_once, typed_body  # noqa: E402
+from .operators import columns as C  # noqa: E402
+from .operators.aggregate import row_count  # noqa: E402
+from .operators.joins import distinct_rows, left_join  # noqa: E402
+from .plans.orders import flatten_items  # noqa: E402
+from .schemas import LOG_LINE_SCHEMA  # noqa: E402
+
+
+@register("explode_items", """
+SELECT CAST(l_orderkey AS VARCHAR) AS amazonOrderId,
+       TRY_CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE) AS price,
+       CAST(l_quantity AS BIGINT) AS quantity,
+       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS orderItemId,
+       'SKU-' || CAST(l_partkey AS VARCHAR) AS SKU
+FROM lineitem
+""")
+def q_explode_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 + C3 + C4 + C8: nested items exploded back to one row per item."""
+    return flatten_items(D.order_items(D.tables(spark, sf_dir).lineitem))
+
+
+@register("left_join_using", """
+SELECT l.l_orderkey AS orderkey, l.l_linenumber, l.l_quantity, o.o_orderstatus, o.o_totalprice
+FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
+""")
+def q_left_join_using(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """left outer join USING one key column."""
+    t = D.tables(spark, sf_dir)
+    left = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_quantity")
+    right = t.orders.select(F.col("o_orderkey").alias("orderkey"), "o_orderstatus", "o_totalprice")
+    return left_join(left, right, "orderkey")
+
+
+@register("distinct_rows", """
+SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem
+""")
+def q_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: full-row distinct."""
+    t = D.tables(spark, sf_dir)
+    return distinct_rows(t.lineitem.select("l_returnflag", "l_linestatus", "l_quantity"))
+
+
+@register("row_count", "SELECT COUNT(*) AS row_count FROM lineitem")
+def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2: global row count."""
+    return row_count(D.tables(spark, sf_dir).lineitem)
+
+
+@register("text_contains", """
+SELECT event_id, props FROM events WHERE contains(props, '"k": 1')
+""")
+def q_text_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literal substring filter."""
+    ev = D.tables(spark, sf_dir).events
+    return ev.where(C.contains_text("props", '"k": 1')).select("event_id", "props")
+
+
+@register("not_null_eq_nonempty", """
+SELECT event_id, method, message FROM (""" + SQL_LOG_ROWS + """) r
+WHERE method IS NOT NULL AND method = 'POST' AND message <> ''
+""")
+def q_not_null_eq_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 + D2 + D3 chained."""
+    ev = D.tables(spark, sf_dir).events
+    recs = D.log_records(ev).select(
+        "method", "message", F.regexp_extract("request_id", "req-(.*)", 1)
+        .cast("bigint").alias("event_id"))
+    return C.where_all(recs, C.is_not_null("method"), C.equals("method", "POST"),
+                       C.non_empty("message")).select("event_id", "method", "message")
+
+
+@register("json_body", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+""")
+def q_json_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text -> typed struct -> leaf."""
+    ev = D.tables(spark, sf_dir).events
+    return ev.select("event_id", typed_body("props", "k int")["k"].alias("k"))
+
+
+@register("json_string_leaf", """
+SELECT 'req-' || CAST(event_id AS VARCHAR) AS request_id,
+       '{"k":' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR) || '}'
+           AS postData,
+       event_type || '-log' AS log_type
+FROM events
+""")
+def q_json_string_leaf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 + I3: decode each log line once; an object under a string field
+    arrives as compact JSON text."""
+    lines = D.log_lines(D.tables(spark, sf_dir).events)
+    dec = decode_once(lines, "value", LOG_LINE_SCHEMA)
+    return dec.select("request_id", "postData", F.col("fields.log_type").alias("log_type"))
+
+
+@register("unwrap_single", """
+SELECT event_id,
+       CASE event_type WHEN 'view' THEN '[host-a, host-b]' WHEN 'error' THEN '[]'
+            ELSE 'host-' || event_type END AS hostname,
+       '[' || CAST(event_id AS VARCHAR) || ', ' || CAST(user_id AS VARCHAR) || ']' AS pair,
+       CAST(user_id AS VARCHAR) AS single_long
+FROM events
+""")
+def q_unwrap_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-element lists unwrapped, other lists rendered as text."""
+    ev = D.tables(spark, sf_dir).events
+    arrays = ev.select("event_id", D._hostnames().alias("hostname"),
+                       F.array("event_id", "user_id").alias("pair"),
+                       F.array("user_id").alias("single_long"))
+    return arrays.select("event_id", TX.unwrap_single("hostname").alias("hostname"),
+                         TX.unwrap_single("pair").alias("pair"),
+                         TX.unwrap_single("single_long").alias("single_long"))
+
+
+@register("suffix_after", """
+SELECT page_id,
+       CASE WHEN url IS NULL OR url = '' THEN url
+            WHEN instr(url, 'ref=') > 0 THEN substr(url, instr(url, 'ref=') + 4) END AS ref
+FROM pages
+""")
+def q_suffix_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 (lenient): text after the first 'ref=' marker, null when absent."""
+    pages = D.tables(spark, sf_dir).pages
+    return pages.select("page_id", TX.suffix_after("url", "ref=", on_missing="null").alias("ref"))
+
+
+@register("message_tail", """
+SELECT event_id,
+       CASE WHEN message = '' THEN message ELSE substr(message, instr(message, 'url=') + 4) END
+           AS message
+FROM (""" + SQL_LOG_ROWS + """) r
+""")
+def q_message_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 (strict): tail after 'url=' on every message; empty stays empty."""
+    ev = D.tables(spark, sf_dir).events
+    recs = D.log_records(ev).select(
+        F.regexp_extract("request_id", "req-(.*)", 1).cast("bigint").alias("event_id"),
+        "message")
+    return recs.select("event_id", TX.suffix_after("message").alias("message"))
+
+
+@register("date_prefix", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders
+""")
+def q_date_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date part before 'T' of an ISO timestamp text."""
+    o = D.tables(spark, sf_dir).orders
+    iso = F.date_format("o_orderdate", D.ISO_SECONDS)
+    return o.select("o_orderkey", TX.extract_date(iso).alias("order_date"))
+
+
+@register("log_date_prefix", """
+SELECT event_id,
+       CASE WHEN log_timestamp IS NULL OR log_timestamp = '' THEN 'null_time'
+            ELSE split_part(log_timestamp, ' ', 1) END AS log_date
+FROM (""" + SQL_LOG_ROWS + """) r
+""")
+def q_log_date_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text before the first space; missing -> 'null_time'; ISO 'T' text
+    has no space and is kept whole."""
+    ev = D.tables(spark, sf_dir).events
+    recs = D.log_records(ev).select(
+        F.regexp_extract("request_id", "req-(.*)", 1).cast("bigint").alias("event_id"),
+        "log_timestamp")
+    return recs.select("event_id", TX.extract_log_date("log_timestamp").alias("log_date"))
+
+
+@register("safe_cast", """
+SELECT page_id, TRY_CAST(regexp_extract(url, 'page=([^&#]*)', 1) AS DOUBLE) AS page_no
+FROM pages
+""")
+def q_safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text -> double, null for text that is no number."""
+    pages = D.tables(spark, sf_dir).pages
+    raw = F.regexp_extract("url", "page=([^&#]*)", 1)
+    return pages.select("page_id", TX.safe_cast(raw, "double").alias("page_no"))
+
+
+@register("struct_expand", """
+SELECT c_custkey, c_name AS name, c_mktsegment AS segment, n.n_name AS nation
+FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+""")
+def q_struct_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 + C3: pack columns into a struct, then expand it back with ``s.*``
+    and copy a nested leaf."""
+    t = D.tables(spark, sf_dir)
+    packed = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"),
+                             "left").select(
+        "c_custkey",
+        F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
+                 F.struct(F.col("n_name").alias("name")).alias("nation")).alias("info"))
+    out = C.leaves(packed, {"nation": "info.nation.name"})
+    return C.expand(out.withColumn("info", F.col("info").dropFields("nation")), "info",
+                    keep=["c_custkey", "nation"])
+
+
+@register("drop_cols", """
+SELECT c_custkey, c_name FROM customer
+""")
+def q_drop_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: drop listed columns; absent names are ignored."""
+    cust = D.tables(spark, sf_dir).customer
+    return C.drop_columns(cust, "c_nationkey", "c_acctbal", "c_mktsegment", "no_such_column")
+
+
+@register("dotted_rename", """
+SELECT 'req-' || CAST(event_id AS VARCHAR) AS request_id,
+       event_type || '-log' AS fields_log_type,
+       event_type || '-log' AS fields_log_type_keyword,
+       event_id AS log_offset
+FROM events
+""")
+def q_dotted_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 + C5: expand hit fields, rename '.' to '_'."""
+    hits = D.search_hits(D.tables(spark, sf_dir).events)
+    df = C.sanitize_names(C.expand(hits, "fields"))
+    return df.select(F.get("request_id", 0).alias("request_id"),
+                     F.get("fields_log_type", 0).alias("fields_log_type"),
+                     F.get("fields_log_type_keyword", 0).alias("fields_log_type_keyword"),
+                     F.get("log_offset", 0).alias("log_offset"))
+
+
+@register("map_columns", """
+SELECT 'req-' || CAST(event_id AS VARCHAR) AS request_id,
+       'user' || CAST(user_id AS VARCHAR) AS log_user,
+       CASE event_type WHEN 'view' THEN '[host-a, host-b]' WHEN 'error' THEN '[]'
+            ELSE 'host-' || event_type END AS hostname,
+       CAST(event_id AS VARCHAR) AS log_offset
+FROM events
+""")
+def q_map_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule (unwrap) over a list of columns in a single projection."""
+    hits = D.search_hits(D.tables(spark, sf_dir).events)
+    df = C.sanitize_names(C.expand(hits, "fields"))
+    cols = ["request_id", "log_user", "hostname", "log_offset"]
+    return C.select_columns(C.map_columns(df, cols, TX.unwrap_value), cols)
+
+
+@register("ensure_columns", """
+SELECT event_id, event_type, 'BAD' AS method FROM events
+""")
+def q_ensure_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add absent columns as constants; present ones are kept."""
+    ev = D.tables(spark, sf_dir).events.select("event_id", "event_type")
+    return C.ensure_columns(ev, {"method": "BAD", "event_type": "unused"})
