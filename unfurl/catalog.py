@@ -488,3 +488,229 @@ def q_ensure_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Add absent columns as constants; present ones are kept."""
     ev = D.tables(spark, sf_dir).events.select("event_id", "event_type")
     return C.ensure_columns(ev, {"method": "BAD", "event_type": "unused"})
+
+
+# -- sources over staged files ---------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import types as T  # noqa: E402
+
+from .plans.logs import log_records_etl, passthrough  # noqa: E402
+from .schemas import (ORDER_ADDRESS_SCHEMA, ORDER_BUYER_SCHEMA,  # noqa: E402
+                      ORDER_ITEMS_SCHEMA, ORDERS_SCHEMA)
+from .session import shared_path  # noqa: E402
+from .sinks import write_json, write_parquet  # noqa: E402
+from .sources import files as SRC  # noqa: E402
+from .streaming.incremental import file_stream, run_incremental  # noqa: E402
+
+CUSTOMER_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType()),
+])
+SQL_CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+ROWS_PER_DOC = 1000
+
+
+def _stage(spark: SparkSession, name: str) -> str:
+    return shared_path(spark, "stage", name, unique=True)
+
+
+@register("read_array", SQL_CUSTOMER)
+def q_read_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A7 + A12: root-array documents in subfolders, explicit schema."""
+    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_array"),
+                              ROWS_PER_DOC)
+    return SRC.read_json_array(spark, path, CUSTOMER_SCHEMA, recursive=True)
+
+
+@register("read_array_inferred", SQL_CUSTOMER)
+def q_read_array_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A11: the same layout with the schema inferred (ints come back as
+    bigint and are cast)."""
+    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_array_inf"),
+                              ROWS_PER_DOC)
+    df = SRC.read_json_array(spark, path, None, recursive=True)
+    return df.select("c_custkey", "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"),
+                     "c_acctbal", "c_mktsegment")
+
+
+@register("read_nested_array", SQL_CUSTOMER)
+def q_read_nested_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: ``[[{...}], []]`` documents read by record path ``$[0][*]``."""
+    path = D.stage_json_nested(D.tables(spark, sf_dir).customer, _stage(spark, "cust_nested"),
+                               ROWS_PER_DOC)
+    return SRC.read_json_nested(spark, path, CUSTOMER_SCHEMA, recursive=True)
+
+
+@register("read_document", SQL_CUSTOMER)
+def q_read_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: record path ``$`` - one row per document (the whole array), then
+    exploded to check nothing is lost."""
+    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_doc"),
+                              ROWS_PER_DOC)
+    docs = SRC.read_json_document(spark, path, T.ArrayType(CUSTOMER_SCHEMA), recursive=True)
+    return docs.select(F.inline("document"))
+
+
+def _stage_log_records(spark: SparkSession, sf_dir: str, name: str) -> str:
+    recs = D.log_records(D.tables(spark, sf_dir).events)
+    return D.stage_json_lines(recs, _stage(spark, name), partition_by=["day"])
+
+
+@register("read_lines_json", _log_no_date_sql())
+def q_read_lines_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + PL9: JSON lines with an explicit schema -> log ETL without date."""
+    path = _stage_log_records(spark, sf_dir, "log_jsonl")
+    recs = SRC.read_json_lines(spark, path, LOG_LINE_SCHEMA)
+    return log_records_etl(recs, with_log_date=False)
+
+
+@register("read_text", SQL_LOG_OUTPUT)
+def q_read_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + A7 + PL6: text lines in daily subfolders -> full log ETL."""
+    lines = D.log_lines(D.tables(spark, sf_dir).events)
+    path = D.stage_text_lines(lines, _stage(spark, "log_text"), partition_by=["day"])
+    return log_etl(SRC.read_lines(spark, path, recursive=True))
+
+
+@register("read_glob", _log_no_date_sql())
+def q_read_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + PL7: files selected by a ``*/*.txt`` glob -> log ETL without date."""
+    lines = D.log_lines(D.tables(spark, sf_dir).events)
+    path = D.stage_text_lines(lines, _stage(spark, "log_glob"), partition_by=["day"])
+    return log_etl(SRC.read_lines(spark, f"{path}/*/*.txt"), with_log_date=False)
+
+
+@register("read_daily_range", SQL_LOG_OUTPUT)
+def q_read_daily_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date range of daily folders (first to last day of the data),
+    pruned on the partition column -> PL8 log ETL."""
+    ev = D.tables(spark, sf_dir).events
+    path = _stage_log_records(spark, sf_dir, "log_daily")
+    bounds = ev.agg(F.min(F.to_date("ts")).alias("b"), F.max(F.to_date("ts")).alias("e")).first()
+    schema = T.StructType(LOG_LINE_SCHEMA.fields + [T.StructField("day", T.StringType())])
+    recs = SRC.read_day_partitions(spark, path, "day", bounds["b"], bounds["e"],
+                                   reader=SRC.read_json_lines, schema=schema)
+    return log_records_etl(recs, method_default="BAD")
+
+
+@register("hit_flatten_json", SQL_HITS)
+def q_hit_flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + A11 + PL4: multi-line hit documents, schema inferred, flattened."""
+    hits = D.search_hits(D.tables(spark, sf_dir).events)
+    path = D.stage_json_array(hits, _stage(spark, "hits"), ROWS_PER_DOC)
+    return _body_columns(hit_flatten(SRC.read_json_array(spark, path, None, recursive=True)))
+
+
+def _stage_orders(spark: SparkSession, sf_dir: str, nested: bool):
+    items, address, buyer, orders = _order_inputs(spark, sf_dir)
+    stage = D.stage_json_nested if nested else D.stage_json_array
+    paths = [stage(df, _stage(spark, n), ROWS_PER_DOC) for df, n in
+             [(items, "order_items"), (address, "order_address"), (buyer, "order_buyer_info")]]
+    paths.append(D.stage_json_array(orders, _stage(spark, "orders"), ROWS_PER_DOC))
+    return paths
+
+
+@register("order_enrich_json", ORACLE_SQL["order_enrich_nodedup"])
+def q_order_enrich_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL2 end to end on files: three ``$[0][*]`` datasets and one ``$[*]``."""
+    p_items, p_addr, p_buyer, p_orders = _stage_orders(spark, sf_dir, nested=True)
+    items = SRC.read_json_nested(spark, p_items, ORDER_ITEMS_SCHEMA, recursive=True)
+    address = SRC.read_json_nested(spark, p_addr, ORDER_ADDRESS_SCHEMA, recursive=True)
+    buyer = SRC.read_json_nested(spark, p_buyer, ORDER_BUYER_SCHEMA, recursive=True)
+    orders = SRC.read_json_array(spark, p_orders, ORDERS_SCHEMA, recursive=True)
+    return order_enrich(items, address, buyer, orders, date_col="lastUpdateDate",
+                        dedup="none", with_order_date=False)
+
+
+# -- sinks, read back with the written schema ----------------------------------------------
+
+@register("sink_parquet_partitioned", ORACLE_SQL["order_enrich"])
+def q_sink_parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL1 end to end: four ``$[*]`` datasets (schemas inferred) -> enrich with
+    distinct -> Parquet partitioned by order_date (B2) -> read back."""
+    p_items, p_addr, p_buyer, p_orders = _stage_orders(spark, sf_dir, nested=False)
+    read = lambda p: SRC.read_json_array(spark, p, None, recursive=True)
+    out = order_enrich(read(p_items), read(p_addr), read(p_buyer), read(p_orders),
+                       date_col="purchaseDate", dedup="each")
+    path = _stage(spark, "sink_parquet")
+    write_parquet(out, path, mode="overwrite", partition_by=["order_date"])
+    return spark.read.schema(out.schema).parquet(path)
+
+
+@register("sink_json_partitioned", SQL_LOG_OUTPUT)
+def q_sink_json_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: log ETL output as JSON partitioned by log_date, read back as text
+    partition values."""
+    out = log_etl(D.log_lines(D.tables(spark, sf_dir).events))
+    path = _stage(spark, "sink_json_part")
+    write_json(out, path, mode="overwrite", partition_by=["log_date"])
+    return spark.read.schema(out.schema).json(path)
+
+
+@register("sink_json", ORACLE_SQL["order_enrich_nodedup"])
+def q_sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unpartitioned JSON output of PL2, read back."""
+    out = q_order_enrich_nodedup(spark, sf_dir)
+    path = _stage(spark, "sink_json")
+    write_json(out, path, mode="overwrite")
+    return spark.read.schema(out.schema).json(path)
+
+
+@register("sink_single_file", SQL_HITS_TAIL)
+def q_sink_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL5 output as one JSON part file, read back."""
+    out = q_hit_flatten_tail(spark, sf_dir)
+    path = _stage(spark, "sink_single")
+    write_json(out, path, mode="overwrite", single_file=True)
+    return spark.read.schema(out.schema).json(path)
+
+
+SQL_LOG_RECORDS = """
+SELECT method, strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' AS "@timestamp",
+       'req-' || CAST(event_id AS VARCHAR) AS request_id, log_timestamp, message,
+       '{"k":' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR) || '}'
+           AS postData,
+       'user' || CAST(user_id AS VARCHAR) AS log_user, 'host-' || event_type AS hostname,
+       '/' || event_type AS log_url, event_type || '-log' AS log_type,
+       strftime(ts, '%Y-%m-%d') AS day
+FROM (""" + SQL_LOG_ROWS + """) r
+"""
+
+
+@register("repartition_passthrough", SQL_LOG_RECORDS)
+def q_repartition_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL10: documents passed through unchanged, written partitioned by day
+    (rebalanced on the key), read back."""
+    recs = D.log_records(D.tables(spark, sf_dir).events)
+    src = D.stage_json_array(recs, _stage(spark, "pass_src"), ROWS_PER_DOC)
+    schema = T.StructType(LOG_LINE_SCHEMA.fields + [T.StructField("day", T.StringType())])
+    docs = SRC.read_json_array(spark, src, schema, recursive=True)
+    path = _stage(spark, "pass_out")
+    write_json(passthrough(docs, "day"), path, mode="overwrite", partition_by=["day"])
+    back = spark.read.schema(schema).json(path)
+    return back.select(*[C.col(c) for c in LOG_LINE_SCHEMA.fieldNames() if c != "fields"],
+                       F.col("fields.log_type").alias("log_type"), "day")
+
+
+# -- incremental ------------------------------------------------------------------------
+
+@register("incremental_log", SQL_LOG_OUTPUT)
+def q_incremental_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: log lines arrive in two drops (first half of the month, then the
+    rest); each run processes only new files; a third run finds nothing."""
+    lines = D.log_lines(D.tables(spark, sf_dir).events)
+    src, sink, ckpt = (_stage(spark, n) for n in ("inc_src", "inc_sink", "inc_ckpt"))
+    cut = F.col("day") < F.lit("2024-01-16")
+    first = lines.where(cut).select("value")
+    rest = lines.where(~cut | F.col("day").isNull()).select("value")
+    first.write.mode("overwrite").text(f"{src}/drop=1")
+    stream = lambda: file_stream(spark, f"{src}/*", "value string", fmt="text")
+    run_incremental(stream(), log_etl, sink, ckpt)
+    rest.write.mode("overwrite").text(f"{src}/drop=2")
+    run_incremental(stream(), log_etl, sink, ckpt)
+    run_incremental(stream(), log_etl, sink, ckpt)
+    schema = log_etl(lines.select("value")).schema
+    return spark.read.schema(schema).parquet(sink)
