@@ -160,8 +160,10 @@ def log_records(events: DataFrame) -> DataFrame:
 def log_lines(events: DataFrame) -> DataFrame:
     """One JSON text line per event in column ``value`` (compact, no spaces)."""
     rec = log_records(events)
-    return rec.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rec.columns if c != "day"]))
-                      .alias("value"), "day")
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rec.columns if c != "day"]))
+    # emitted through a generator so that filters on ``value`` run on the
+    # built text instead of being pushed down as copies of the whole to_json
+    return rec.select(F.inline(F.array(F.struct(text.alias("value"), F.col("day")))))
 
 
 def request_body(events: DataFrame) -> Column:

@@ -71,7 +71,7 @@ def read_json_nested(spark: SparkSession, paths: Paths, schema: T.StructType | s
     text = spark.read.options(**({"recursiveFileLookup": "true"} if recursive else {}))
     raw = text.text(_paths(paths), wholetext=True)
     inner = F.get(F.from_json(F.col("value"), doc_type), index)
-    return raw.select(F.inline_outer(F.coalesce(inner, F.array().cast(f"array<{elem}>"))))
+    return raw.select(F.inline(inner))
 
 
 def read_json_document(spark: SparkSession, paths: Paths, schema: Schema = None, *,
