@@ -121,12 +121,22 @@ class Dim:
 
 
 def enrich(base: DataFrame, dims: Iterable[Dim], skew: str | HotKeys | None = None,
-           key: str | None = None) -> DataFrame:
+           key: str | None = None, plan: str = "star") -> DataFrame:
     """fold of left joins over ``dims`` with optional per-join distinct.
 
     A distinct flagged on join ``i`` equals a distinct of the base and of
     dims ``1..i`` before joining (see the module note), which is what runs.
 
+    ``plan``: with one key shared by all dims, ``"star"`` (default) runs
+    ``base LEFT JOIN (d1 FULL JOIN d2 FULL JOIN ...)``. That is the same result
+    as the chain ``((base LEFT JOIN d1) LEFT JOIN d2) ...`` - a base row meets
+    the product of each dimension's matches, with one all-null row standing in
+    for a dimension without a match - but the big side is joined once. The
+    chain of sort-merge joins keeps the key partitioning between its joins,
+    which stops adaptive execution from splitting a hot key's partition; a
+    single join on top of the plan can be split. ``"chain"`` keeps the literal
+    fold.
+
     ``skew``: ``None`` relies on adaptive execution; ``"detect"`` finds hot
     keys of the base exactly (one extra aggregation over the key column) and
     salts them; a ``HotKeys`` value salts the given keys. Salting needs all
@@ -150,6 +160,18 @@ def enrich(base: DataFrame, dims: Iterable[Dim], skew: str | HotKeys | None = No
         if hot.empty:
             hot = None
 
+    same_key = len({d.key for d in dims}) == 1
+    if plan == "star" and same_key and len(rights) > 1:
+        # items LEFT JOIN (A FULL JOIN B FULL JOIN ...): the dimensions are
+        # combined among themselves first, so the big side meets one join.
+        combined = rights[0]
+        for r in rights[1:]:
+            combined = combined.join(r, on=dims[0].key, how="full")
+        rights = [combined]
+        dims = dims[:1]
+    elif plan not in ("star", "chain"):
+        raise ValueError(f"plan must be star or chain, got {plan!r}")
+
     if hot is None:
         out = left
         for d, r in zip(dims, rights):
