@@ -714,3 +714,25 @@ def q_incremental_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_incremental(stream(), log_etl, sink, ckpt)
     schema = log_etl(lines.select("value")).schema
     return spark.read.schema(schema).parquet(sink)
+
+
+# -- observed counts ---------------------------------------------------------------------
+
+from .operators.metrics import StageCounts  # noqa: E402
+
+
+@register("stage_counts", """
+SELECT 'items' AS stage, COUNT(*) AS row_count FROM lineitem
+UNION ALL SELECT 'orders', COUNT(*) FROM orders
+UNION ALL SELECT 'enriched', COUNT(*) FROM (SELECT DISTINCT * FROM (""" + SQL_ORDER_ROWS + """) x) y
+""")
+def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of several stages of PL1, filled during one action
+    (observed metrics) instead of one recomputing ``count()`` per stage."""
+    items, address, buyer, orders = _order_inputs(spark, sf_dir)
+    counts = StageCounts()
+    out = order_enrich(items, address, buyer, orders, dedup="each", counts=counts)
+    out.write.format("noop").mode("overwrite").save()
+    got = counts.get()
+    rows = [(k, got[k]) for k in ("items", "orders", "enriched")]
+    return spark.createDataFrame(rows, "stage string, row_count bigint")
