@@ -97,3 +97,13 @@ def test_distinct_rows_nested(spark):
     df = spark.createDataFrame([("a", [1], (1,)), ("a", [1], (1,)), ("a", [2], (1,))],
                                "k string, arr array<int>, s struct<x: int>")
     assert distinct_rows(df).count() == 2
+
+
+def test_skewed_driver_key_is_salted(spark):
+    import os
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    hot = detect_hot_keys(li.select("l_returnflag"), "l_returnflag")
+    assert hot.keys and hot.buckets >= 2

@@ -125,3 +125,19 @@ def test_single_file_and_parquet(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/pq").count() == 1000
     # rebalanced on the key: few files per folder
     assert len(glob.glob(f"{tmp_dir}/pq/n=3/*.parquet")) <= 2
+
+
+def test_partition_by_full_timestamp_escapes_colon(spark, tmp_dir):
+    # One folder per distinct timestamp; ':' is escaped in folder names
+    df = spark.createDataFrame([("a", "2021-10-22T05:50:08Z")], "id string, ts string")
+    write_json(df, f"{tmp_dir}/ts", mode="overwrite", partition_by=["ts"])
+    assert any("%3A" in d for d in os.listdir(f"{tmp_dir}/ts"))
+    back = spark.read.schema(df.schema).json(f"{tmp_dir}/ts")
+    assert back.first().ts == "2021-10-22T05:50:08Z"
+
+
+def test_preview_and_schema_text(spark):
+    from unfurl.sinks import preview, schema_text
+    df = spark.range(50)
+    assert preview(df, 10).count() == 10
+    assert "id: long" in schema_text(df)

@@ -736,3 +736,26 @@ def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = counts.get()
     rows = [(k, got[k]) for k in ("items", "orders", "enriched")]
     return spark.createDataFrame(rows, "stage string, row_count bigint")
+
+
+# -- skewed join key ------------------------------------------------------------------------
+
+from .operators.joins import Dim, enrich  # noqa: E402
+
+
+@register("left_join_skewed", """
+SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, d.flag_rows, d.flag_qty
+FROM lineitem l
+LEFT JOIN (SELECT l_returnflag, COUNT(*) AS flag_rows, SUM(l_quantity) AS flag_qty
+           FROM lineitem GROUP BY l_returnflag) d
+  ON d.l_returnflag = l.l_returnflag
+""")
+def q_left_join_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 on a skewed key: every line item joined to its return-flag summary.
+    One flag holds about half of all rows; ``skew="detect"`` finds such keys
+    exactly and salts them, so no task receives a whole hot key."""
+    li = D.tables(spark, sf_dir).lineitem
+    base = li.select("l_orderkey", "l_linenumber", "l_returnflag")
+    flags = li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("flag_rows"),
+                                           F.sum("l_quantity").alias("flag_qty"))
+    return enrich(base, [Dim(flags, "l_returnflag")], skew="detect")
