@@ -246,7 +246,7 @@ from .functions import text as TX  # noqa: E402
 from .functions.jsoncols import decode_once, typed_body  # noqa: E402
 from .operators import columns as C  # noqa: E402
 from .operators.aggregate import row_count  # noqa: E402
-from .operators.joins import distinct_rows, left_join  # noqa: E402
+from .operators.joins import checked_broadcast, distinct_rows, left_join  # noqa: E402
 from .plans.orders import flatten_items  # noqa: E402
 from .schemas import LOG_LINE_SCHEMA  # noqa: E402
 
@@ -429,7 +429,8 @@ def q_struct_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C2 + C3: pack columns into a struct, then expand it back with ``s.*``
     and copy a nested leaf."""
     t = D.tables(spark, sf_dir)
-    packed = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"),
+    nation = checked_broadcast(t.nation, 100_000)
+    packed = t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"),
                              "left").select(
         "c_custkey",
         F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
