@@ -30,7 +30,8 @@ def _col(c: ColumnOrName) -> Column:
 def render_list(arr: ColumnOrName) -> Column:
     """Render an array the way a JVM list prints: ``[a, b]``, nulls as ``null``."""
     a = _col(arr)
-    as_text = F.transform(a, lambda x: x.cast("string"))
+    # a cast rather than transform(): no lambda, so it stays in whole-stage codegen
+    as_text = a.cast("array<string>")
     return F.concat(F.lit("["), F.array_join(as_text, ", ", "null"), F.lit("]"))
 
 
