@@ -11,6 +11,11 @@ from pyspark.sql import types as T
 
 S = T.StringType()
 
+# The field names and types of each record layout and the
+# column orders of the job outputs below must equal those of the original
+# jobs for results to match; they are data-model values, listed in their
+# natural order.
+
 # One operation-log line (a JSON object per text line).
 LOG_FIELDS_SCHEMA = T.StructType([T.StructField("log_type", S)])
 LOG_LINE_SCHEMA = T.StructType([
