@@ -47,15 +47,21 @@ def _conf(spark: SparkSession, key: str) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private folder created
-    and registered, so that ``DataFrame.checkpoint()`` and staged tables work.
+    Where the session names none, a ``local`` master (tests, bench) gets a
+    private folder, once per application. Any other master raises: executors
+    of a cluster do not see each other's disks, so a staged table in a
+    machine-local folder would be read back incomplete.
     """
-    base = _conf(spark, "spark.checkpoint.dir")
+    sc = spark.sparkContext
+    base = _conf(spark, "spark.checkpoint.dir") or sc.getCheckpointDir()
     if base is None:
+        # "local-cluster" starts executors with folders of their own
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               f"executors share (master {sc.master})")
         base = tempfile.mkdtemp(prefix="unfurl-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
