@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common, decontaminate, line_dedup, packing, simhash
+from . import common, decontaminate, language_id, line_dedup, packing, simhash
 from unfurl.session import ensure_checkpoint_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -57,6 +56,19 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.apply_bitmaps(docs, bitmaps, out, digest, []).select("doc_id", *out.names)
 
 
-QUERIES = {"op4_decontaminate": op4_decontaminate, "op5_simhash": op5_simhash, "op6_pack": op6_pack,
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from text, declared language and source."""
+    found = language_id.identify(common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return found.select("doc_id", "language", "posterior", "text_language", F.col("lang").alias("declared"), "source", "kept")
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from text, markup language, address suffix and host."""
+    found = language_id.identify(common.table(spark, sf_dir, "pages").select("page_id", "url", "html"),
+                                 **language_id.page_columns())
+    return found.select("page_id", "url", "language", "posterior", "text_language", "kept")
+
+
+QUERIES = {"op10_language_id": op10_language_id, "language_id_pages": language_id_pages, "op4_decontaminate": op4_decontaminate, "op5_simhash": op5_simhash, "op6_pack": op6_pack,
            "op9_line_dedup": op9_line_dedup}
 ORACLE_SQL: dict[str, str] = {}
