@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common, decontaminate, language_id, line_dedup, packing, simhash
+from . import common, decontaminate, language_id, line_dedup, packing, quality_rules, secret_scan, simhash
 from unfurl.session import ensure_checkpoint_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -20,6 +20,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in documents."""
+    found = secret_scan.secret_scan(common.table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_assign", "n_access", "n_hex",
+                        F.sha2(secret_scan.joined("base"), 256).alias("base_sha256"), secret_scan.joined("spans").alias("spans"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdicts of documents."""
+    return quality_rules.quality_rules(common.table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in documents."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,6 +81,6 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "language", "posterior", "text_language", "kept")
 
 
-QUERIES = {"op10_language_id": op10_language_id, "language_id_pages": language_id_pages, "op4_decontaminate": op4_decontaminate, "op5_simhash": op5_simhash, "op6_pack": op6_pack,
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op3_quality_rules": op3_quality_rules, "op10_language_id": op10_language_id, "language_id_pages": language_id_pages, "op4_decontaminate": op4_decontaminate, "op5_simhash": op5_simhash, "op6_pack": op6_pack,
            "op9_line_dedup": op9_line_dedup}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_secret_scan": secret_scan.sql(), "op3_quality_rules": quality_rules.sql()}
