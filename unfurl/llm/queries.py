@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common, decontaminate, language_id, line_dedup, packing, quality_rules, secret_scan, simhash
+from . import common, decontaminate, language_id, line_dedup, lm_score, packing, quality_rules, secret_scan, simhash
 from unfurl.session import ensure_checkpoint_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -53,6 +53,11 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("doc", "doc_id")
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of documents."""
+    return lm_score.lm_score(common.table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines shared by documents, kept in one of them."""
     ensure_checkpoint_dir(spark)
@@ -82,5 +87,5 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_secret_scan": op1_secret_scan, "op3_quality_rules": op3_quality_rules, "op10_language_id": op10_language_id, "language_id_pages": language_id_pages, "op4_decontaminate": op4_decontaminate, "op5_simhash": op5_simhash, "op6_pack": op6_pack,
-           "op9_line_dedup": op9_line_dedup}
+           "op8_lm_score": op8_lm_score, "op9_line_dedup": op9_line_dedup}
 ORACLE_SQL: dict[str, str] = {"op1_secret_scan": secret_scan.sql(), "op3_quality_rules": quality_rules.sql()}
