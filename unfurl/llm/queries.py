@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common, decontaminate, language_id, line_dedup, lm_score, packing, quality_rules, secret_scan, simhash
+from . import common, decontaminate, html_extract, language_id, line_dedup, lm_score, packing, quality_rules, secret_scan, simhash, url_filter
 from unfurl.session import ensure_checkpoint_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -27,6 +27,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(secret_scan.joined("base"), 256).alias("base_sha256"), secret_scan.joined("spans").alias("spans"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    found = url_filter.url_filter(common.table(spark, sf_dir, "pages").select("page_id", "url"))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdicts of documents."""
     return quality_rules.quality_rules(common.table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
@@ -53,6 +59,12 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("doc", "doc_id")
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(common.table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of documents."""
     return lm_score.lm_score(common.table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
@@ -86,6 +98,6 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "language", "posterior", "text_language", "kept")
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op3_quality_rules": op3_quality_rules, "op10_language_id": op10_language_id, "language_id_pages": language_id_pages, "op4_decontaminate": op4_decontaminate, "op5_simhash": op5_simhash, "op6_pack": op6_pack,
-           "op8_lm_score": op8_lm_score, "op9_line_dedup": op9_line_dedup}
-ORACLE_SQL: dict[str, str] = {"op1_secret_scan": secret_scan.sql(), "op3_quality_rules": quality_rules.sql()}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_url_filter": op2_url_filter, "op3_quality_rules": op3_quality_rules, "op10_language_id": op10_language_id, "language_id_pages": language_id_pages, "op4_decontaminate": op4_decontaminate, "op5_simhash": op5_simhash, "op6_pack": op6_pack,
+           "op7_html_extract": op7_html_extract, "op8_lm_score": op8_lm_score, "op9_line_dedup": op9_line_dedup}
+ORACLE_SQL: dict[str, str] = {"op1_secret_scan": secret_scan.sql(), "op2_url_filter": url_filter.sql(), "op3_quality_rules": quality_rules.sql()}
