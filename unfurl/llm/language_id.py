@@ -180,6 +180,11 @@ def identify(docs: DataFrame, text: Column | str = "text", declared: Column | st
     spark = docs.sparkSession
     model = fit_text_model(docs, text, declared, how.sample_rows, how.max_languages)
     n_lang = len(model.languages)
+    if not n_lang:      # nothing to learn from
+        none = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("language", "posterior", "text_language", "kept")],
+                           F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"),
+                           F.lit(None).cast("string").alias("text_language"), F.lit(False).alias("kept"))
+        return docs.where(F.lit(False)) if kept_only else none
     sent = spark.sparkContext.broadcast(model)      # buckets x languages, 64 MB at most
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +193,7 @@ def identify(docs: DataFrame, text: Column | str = "text", declared: Column | st
             out = []
             for t in common.text_bytes(b.column(2)):
                 s, n = m.score(t)
-                out.append(int(s.argmax()) if n and n_lang else -1)
+                out.append(int(s.argmax()) if n else -1)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.int32())], ["host", "declared", "best"])
 
     seen = (docs.select(host.alias("host"), _declared(declared, model.languages).alias("declared"), text.alias("text"))
@@ -209,7 +214,7 @@ def identify(docs: DataFrame, text: Column | str = "text", declared: Column | st
         m, lang, post, by_text, kept = sent.value, [], [], [], []
         for t, d, p in zip(common.text_bytes(texts), said.to_pylist(), prior.to_pylist()):
             mean, n = m.score(t)
-            if not n or not n_lang:
+            if not n:
                 lang.append(None), post.append(0.0), by_text.append(None), kept.append(False)
                 continue
             log = mean * min(n, how.independent)

@@ -1,15 +1,17 @@
 """Secret scan: three base patterns, and strings that pass for random in their encoding.
 
 DataFrame functions only. Candidates (long runs of encoding characters) get the smallest
-standard encoding that holds them and three tests of the hypothesis "drawn uniformly from
-its alphabet": chi-squared over the symbols, runs above and below the middle of the alphabet,
-and lag-1 serial correlation. Fisher's method combines the p-values. Within each encoding and
+standard encoding that holds them and a battery of tests of the hypothesis "drawn uniformly
+from its alphabet": chi-squared over the symbols and over their classes (capitals, small
+letters, the rest), runs above and below the middle of the alphabet, and lag-1 serial
+correlation. The smallest p-value counts, times their number, as the tests are not independent. Within each encoding and
 length class a Benjamini-Hochberg step, on counts over all documents, decides which
 candidates are no random strings; those that remain and carry enough bits are reported.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,6 +33,8 @@ ALPHABETS = {
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
 BINS = 120
+#: degrees of freedom with the skewness that the symbols' statistic has over these alphabets and lengths
+SKEW_DF = 12.5
 
 
 @dataclass(frozen=True)
@@ -39,7 +43,7 @@ class Battery:
     (encoding and power of two of the length), and the bits a reported string must carry."""
 
     min_chars: int = 20
-    fdr: float = 0.05
+    fdr: float = 0.01
     min_bits: int = 80
     assign_chars: int = 6
 
@@ -117,18 +121,25 @@ def tested(tokens: DataFrame, how: Battery) -> DataFrame:
     mid = (k - 1.0) / 2.0
     runs = F.aggregate(F.transform(x, lambda v, i: F.when((i > 0) & ((v > mid) != (x[i - 1] > mid)), 1.0).otherwise(0.0)), F.lit(1.0), lambda a, v: a + v)
     lag = F.aggregate(F.transform(x, lambda v, i: F.when(i > 0, (v - mid) * (x[i - 1] - mid)).otherwise(0.0)), zero, lambda a, v: a + v)
-    t = t.withColumns({"squares": squares, "runs": runs, "lag": lag})
+    t = t.withColumns({"squares": squares, "runs": runs, "lag": lag, "same": same,
+                       "up": n - F.length(F.regexp_replace(same, "[A-Z]", "")), "low": n - F.length(F.regexp_replace(same, "[a-z]", ""))})
+    up, low = F.col("up"), F.col("low")
     chi = (k / n * F.col("squares") - n - (k - 1.0)) / F.sqrt(2.0 * (k - 1.0) * (n - 1.0) / n)
     run = (F.col("runs") - 1.0 - (n - 1.0) / 2.0) / F.sqrt((n - 1.0) / 4.0)
     ser = F.col("lag") / ((k * k - 1.0) / 12.0) / F.sqrt(n - 1.0)
-    floor = F.lit(1e-12)
-    logs = sum((-F.log(F.greatest(floor, p)) for p in (_tail(F.greatest(F.lit(-8.0), chi)), 2.0 * _tail(F.abs(run)), 2.0 * _tail(F.abs(ser)))), zero)
-    t = t.withColumn("fisher", logs)    # half of Fisher's statistic; chi-squared with 6 degrees of freedom
-    f = F.col("fisher")
-    minus_log_p = f - F.log(1.0 + f + f * f / 2.0)
+    # the statistic is skewed to the right: its tail is that of a chi-squared one with SKEW_DF
+    # degrees of freedom (Wilson and Hilferty's cube root)
+    y = F.greatest(zero, 1.0 + chi * math.sqrt(2 / SKEW_DF))
+    chi = (F.pow(y, F.lit(1 / 3)) - (1 - 2 / (9 * SKEW_DF))) / math.sqrt(2 / (9 * SKEW_DF))
+    e1, e2 = n * 26.0 / k, n * (k - 52.0) / k
+    three = F.exp(-((up - e1) * (up - e1) / e1 + (low - e1) * (low - e1) / e1 + (n - up - low - e2) * (n - up - low - e2) / e2) / 2.0)
+    part = F.when(k == 16.0, 6.0 / 16.0).otherwise(26.0 / 32.0)
+    two = 2.0 * _tail(F.abs(up + low - n * part) / F.sqrt(n * part * (1.0 - part)))
+    least = F.least(_tail(F.greatest(F.lit(-8.0), chi)), F.when(k > 32.0, three).otherwise(two), 2.0 * _tail(F.abs(run)), 2.0 * _tail(F.abs(ser)))
+    minus_log_p = -F.log(F.greatest(F.lit(1e-12), least) * 4.0)
     return t.withColumns({"bin": F.least(F.lit(BINS), F.floor(F.round(F.greatest(zero, minus_log_p), 6) * 4.0)).cast("int"),
                           "class": F.floor(F.log2(n)).cast("int"), "strong": n * F.log2(k) >= how.min_bits}) \
-            .drop("k", "alphabet", "x", "sorted", "squares", "runs", "lag", "fisher", "token")
+            .drop("k", "alphabet", "x", "sorted", "squares", "runs", "lag", "same", "up", "low", "token")
 
 
 def rejected_from(tokens: DataFrame, fdr: float) -> DataFrame:
@@ -211,12 +222,18 @@ sq AS (SELECT id, sum(o * o)::DOUBLE AS squares FROM (SELECT id, x, count(*) AS
 nb AS (SELECT id, k, x, lag(x) OVER (PARTITION BY id ORDER BY i) AS y FROM x),
 st AS (SELECT id, any_value(k) AS k, 1.0 + count(*) FILTER (WHERE y IS NOT NULL AND (x > (k - 1) / 2) <> (y > (k - 1) / 2)) AS runs,
               coalesce(sum((x - (k - 1) / 2) * (y - (k - 1) / 2)), 0.0) AS lag FROM nb GROUP BY id),
-z AS (SELECT a.*, k, greatest(-8.0, (k / n * squares - n - (k - 1)) / sqrt(2 * (k - 1) * (n - 1) / n)) AS z1,
+z AS (SELECT a.*, k, (k / n * squares - n - (k - 1)) / sqrt(2 * (k - 1) * (n - 1) / n) AS z1,
              abs((runs - 1 - (n - 1) / 2) / sqrt((n - 1) / 4)) AS z2, abs(lag / ((k * k - 1) / 12) / sqrt(n - 1)) AS z3
       FROM a JOIN sq USING (id) JOIN st USING (id)),
-f AS (SELECT *, -ln(greatest(1e-12, {tail.format(z="z1")})) - ln(greatest(1e-12, 2 * {tail.format(z="z2")}))
-             - ln(greatest(1e-12, 2 * {tail.format(z="z3")})) AS f FROM z),
-b AS (SELECT *, least({BINS}, floor(round(greatest(0, f - ln(1 + f + f * f / 2)), 6) * 4)) AS bin, floor(log2(n)) AS class FROM f),
+g AS (SELECT *, (pow(greatest(0.0, 1.0 + z1 * {math.sqrt(2 / SKEW_DF)}), {1 / 3}) - {1 - 2 / (9 * SKEW_DF)}) / {math.sqrt(2 / (9 * SKEW_DF))} AS z0,
+             n - length(regexp_replace(same, '[A-Z]', '', 'g')) AS up, n - length(regexp_replace(same, '[a-z]', '', 'g')) AS low,
+             n * 26 / k AS e1, n * (k - 52) / k AS e2, CASE k WHEN 16 THEN 6.0 / 16.0 ELSE 26.0 / 32.0 END AS part
+      FROM (SELECT *, CASE WHEN enc = 'hex' THEN lower(token) ELSE token END AS same FROM z)),
+f AS (SELECT *, abs(up + low - n * part) / sqrt(n * part * (1 - part)) AS z4,
+             exp(-((up - e1) * (up - e1) / e1 + (low - e1) * (low - e1) / e1 + (n - up - low - e2) * (n - up - low - e2) / e2) / 2) AS p3 FROM g),
+v AS (SELECT *, -ln(greatest(1e-12, least({tail.format(z="greatest(-8.0, z0)")}, CASE WHEN k > 32 THEN p3 ELSE 2 * {tail.format(z="z4")} END,
+                                          2 * {tail.format(z="z2")}, 2 * {tail.format(z="z3")})) * 4) AS v FROM f),
+b AS (SELECT *, least({BINS}, floor(round(greatest(0, v), 6) * 4)) AS bin, floor(log2(n)) AS class FROM v),
 h AS (SELECT enc, class, bin, count(*) AS c FROM b GROUP BY ALL),
 r AS (SELECT *, sum(c) OVER (PARTITION BY enc, class ORDER BY bin DESC) AS above, sum(c) OVER (PARTITION BY enc, class) AS m FROM h),
 cut AS (SELECT enc, class, min(CASE WHEN exp(-bin / 4.0) * m <= {how.fdr} * above THEN bin END) AS cut FROM r GROUP BY ALL),

@@ -215,8 +215,8 @@ def _probe_shards(d: DataFrame, entries: UrlList, shard_probes: int) -> DataFram
     copies = max(1, -(-once.count() // (shard_probes * max(1, len(lows)))))
     # the shard whose range holds a digest: the last one that begins at or before it
     owner = F.array_max(F.filter(F.array(*[F.lit(x) for x in lows]), lambda x: x <= F.col("digest")))
-    dealt = once.withColumns({"shard": owner, "copy": F.pmod(F.xxhash64("cand", F.lit(1)), F.lit(copies))}).where("shard is not null")
-    shards = entries.shards.select("shard", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).cast("long").alias("copy"),
+    dealt = once.withColumns({"shard": owner, "copy": F.pmod(F.xxhash64("cand", F.lit(1)), F.lit(copies).cast("long"))}).where("shard is not null")
+    shards = entries.shards.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"),
                                    "digests", "offsets", "strings", "blocks")
 
     def look(probes, shard):
