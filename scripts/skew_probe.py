@@ -1,37 +1,43 @@
 """Skew probe: one join key holds a third of the base rows.
 
-Runs the enrichment as a chain of left joins and as the star form and prints
-warm timings. With ``spark.sql.adaptive.logLevel=WARN`` the adaptive plan
-changes are logged; the star form shows ``SortMergeJoin(skew=true)``.
+Runs the enrichment with all rows of a key in one task (``plain``), with the hot
+keys found first (``detect``, the finding included) and with the hot key known
+(``known``), in turn, and prints warm timings and the median of each.
 
-    python scripts/skew_probe.py chain star 2>&1 | grep -E "RESULT|skew=true"
+    python scripts/skew_probe.py 2>/dev/null
 """
-import sys, time
-sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))))
-from pyspark.sql import functions as F
-from unfurl.session import local_session
-from unfurl.operators.joins import Dim, enrich
+import os
+import statistics
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from unfurl.operators.joins import Dim, HotKeys, enrich  # noqa: E402
+from unfurl.session import local_session  # noqa: E402
+
 spark = local_session(8, 16, extra={
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.autoBroadcastJoinThreshold": "-1"})
-spark.sparkContext.setLogLevel("WARN")
 n = 3_000_000
 items = spark.range(n).select(
     F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 100000).cast("string")).alias("k"),
     F.col("id").cast("string").alias("item"))
 keys = spark.range(100000).select(F.col("id").cast("string").alias("k"))
 keys = keys.union(spark.createDataFrame([("hot",)], "k string"))
-a = keys.select("k", F.concat(F.lit("a"), "k").alias("a"))
-b = keys.select("k", F.concat(F.lit("b"), "k").alias("b"))
-o = keys.select("k", F.concat(F.lit("o"), "k").alias("o"))
-items.write.format("noop").mode("overwrite").save()
-for plan in sys.argv[1:]:
-    df = enrich(items, [Dim(a, "k"), Dim(b, "k"), Dim(o, "k")], plan=plan)
-    for i in range(2):
-        if i == 1:
-            spark.conf.set("spark.sql.adaptive.logLevel", "WARN")
-        t = time.time(); df.write.format("noop").mode("overwrite").save()
-        print("RESULT", plan, round(time.time() - t, 2), flush=True)
-        spark.conf.set("spark.sql.adaptive.logLevel", "DEBUG")
+dims = [Dim(keys.select("k", F.concat(F.lit(c), "k").alias(c)), "k") for c in ("a", "b", "o")]
+known = HotKeys({"hot": 16})
+times = {"plain": [], "detect": [], "known": []}
+for i in range(5):
+    for name, skew in (("plain", None), ("detect", "detect"), ("known", known)):
+        t = time.perf_counter()
+        enrich(items, dims, skew=skew).write.format("noop").mode("overwrite").save()
+        if i:   # the first round warms up
+            times[name].append(round(time.perf_counter() - t, 2))
+for name, ts in times.items():
+    print("RESULT", name, statistics.median(ts), ts, flush=True)
+spark.stop()

@@ -6,8 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import plan_text
-from unfurl.operators.joins import (Dim, HotKeys, checked_broadcast, detect_hot_keys,
-                                    distinct_rows, enrich, left_join)
+from unfurl.operators.joins import (SALT, Dim, HotKeys, detect_hot_keys, distinct_rows, enrich,
+                                    left_join, salt_big_side)
 
 keys = st.sampled_from(["k1", "k2", "k3", "k4", None])
 small = st.sampled_from(["a", "b"])
@@ -61,7 +61,7 @@ def test_salted_join_is_exact(spark, base_rows, dim_rows, buckets):
     base = spark.createDataFrame(base_rows, "k string, item string")
     dim = spark.createDataFrame(dim_rows, "k string, city string")
     plain = enrich(base, [Dim(dim, "k")])
-    hot = HotKeys(["k1", "k2"], buckets)
+    hot = HotKeys({"k1": buckets, "k2": 2, "absent": 7})
     salted = enrich(base, [Dim(dim, "k")], skew=hot)
     assert bag(salted) == bag(plain)
 
@@ -70,18 +70,60 @@ def test_detect_hot_keys(spark):
     rows = [("hot", i) for i in range(300)] + [(f"c{i}", i) for i in range(100)]
     df = spark.createDataFrame(rows, "k string, v int")
     hot = detect_hot_keys(df, "k", rows_per_task=50)
-    assert hot.keys == ["hot"] and hot.buckets == 6
+    assert hot.buckets == {"hot": 6}
     dim = spark.createDataFrame([("hot", "x"), ("c1", "y")], "k string, d string")
     auto = enrich(df, [Dim(dim, "k")], skew="detect")
     assert bag(auto) == bag(enrich(df, [Dim(dim, "k")]))
 
 
-def test_checked_broadcast(spark):
-    small = spark.createDataFrame([(1, "a")], "k int, v string")
-    big = spark.range(100).withColumnRenamed("id", "k")
-    joined = big.join(checked_broadcast(small, 10), "k", "left")
-    assert "BroadcastHashJoin" in plan_text(joined)
-    assert checked_broadcast(big, 10) is big
+def test_all_hot_keys_are_found(spark):
+    # 400 keys over the threshold: none is left out
+    rows = [(f"k{i % 400}", i) for i in range(4000)] + [(f"c{i}", i) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    hot = detect_hot_keys(df, "k", rows_per_task=5)
+    assert set(hot.keys) == {f"k{i}" for i in range(400)} and set(hot.buckets.values()) == {2}
+    dim = spark.createDataFrame([(f"k{i}", str(i)) for i in range(0, 400, 3)], "k string, d string")
+    assert bag(enrich(df, [Dim(dim, "k")], skew=hot)) == bag(left_join(df, dim, "k"))
+
+
+def largest_bucket(df, key, hot):
+    n = salt_big_side(df, key, hot).groupBy(key, SALT).count().agg({"count": "max"}).first()[0]
+    return n / df.count()
+
+
+def test_null_keys_are_spread(spark):
+    df = spark.range(8000).selectExpr("cast(null as string) k", "id v").repartition(8)
+    dim = spark.createDataFrame([(None, "x"), ("a", "y")], "k string, d string")
+    assert largest_bucket(df, "k", HotKeys()) < 0.4       # over the session's 4 partitions
+    out = enrich(df.union(spark.createDataFrame([("a", 1)], "k string, v long")), [Dim(dim, "k")])
+    assert out.count() == 8001 and out.where("d is not null").count() == 1
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    df = spark.range(10000).selectExpr("'hot' k", "1 v").repartition(32)
+    assert largest_bucket(df, "k", HotKeys({"hot": 8})) < 0.4
+    dim = spark.createDataFrame([("hot", "x"), ("hot", "y")], "k string, d string")
+    assert bag(enrich(df, [Dim(dim, "k")], skew="detect")) == {("x", "hot", 1): 10000, ("y", "hot", 1): 10000}
+
+
+def test_dimension_hot_on_a_key_the_base_never_holds(spark):
+    # two dimensions with 2,000 rows each on that key: no product of them is built
+    hot = spark.range(2000).selectExpr("'absent' k", "id x")
+    base = spark.createDataFrame([("a", 1)], "k string, v int")
+    d1, d2 = hot.withColumnRenamed("x", "d1"), hot.withColumnRenamed("x", "d2")
+    out = enrich(base, [Dim(d1, "k"), Dim(d2, "k")])
+    assert [tuple(r) for r in out.collect()] == [("a", 1, None, None)]
+    assert "FullOuter" not in plan_text(out, "simple")
+
+
+def test_join_counts(spark):
+    from unfurl.operators.metrics import StageCounts
+    base = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    d1 = spark.createDataFrame([("a", "x"), ("a", "y")], "k string, d string")
+    d2 = spark.createDataFrame([("a", "p")], "k string, e string")
+    counts = StageCounts()
+    enrich(base, [Dim(d1, "k"), Dim(d2, "k")], counts=counts).collect()
+    assert counts.get() == {"join_1": 3, "join_2": 3}
 
 
 def test_left_join_using_keeps_one_key(spark):
@@ -97,13 +139,3 @@ def test_distinct_rows_nested(spark):
     df = spark.createDataFrame([("a", [1], (1,)), ("a", [1], (1,)), ("a", [2], (1,))],
                                "k string, arr array<int>, s struct<x: int>")
     assert distinct_rows(df).count() == 2
-
-
-def test_skewed_driver_key_is_salted(spark):
-    import os
-    sf = "/root/testdata/sf0.001"
-    if not os.path.isdir(sf):
-        return
-    li = spark.read.parquet(f"{sf}/lineitem.parquet")
-    hot = detect_hot_keys(li.select("l_returnflag"), "l_returnflag")
-    assert hot.keys and hot.buckets >= 2

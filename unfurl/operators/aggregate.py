@@ -14,12 +14,12 @@ from pyspark.sql import types as T
 from .columns import q
 
 
-def _exact_product(qty: Column, price: Column, price_type: T.DataType) -> Column:
-    # Money is summed as decimal so the total does not depend on the order
-    # in which partial sums meet; doubles are moved to cents first.
-    if isinstance(price_type, T.DecimalType):
+def _product(qty: Column, price: Column, price_type: T.DataType) -> Column:
+    """Decimal and integral prices multiply exactly and keep their scale; double and
+    text prices are doubles (text that is no number counts as null). Nothing is rounded."""
+    if isinstance(price_type, (T.DecimalType, T.IntegralType)):
         return qty * price
-    return qty * price.cast(T.DecimalType(18, 2))
+    return qty * price.try_cast("double")
 
 
 def sales_by_key(df: DataFrame, key: str = "sku", qty: str = "qty", price: str = "price",
@@ -27,8 +27,10 @@ def sales_by_key(df: DataFrame, key: str = "sku", qty: str = "qty", price: str =
                  revenue_as_double: bool = True) -> DataFrame:
     """H1: ``SELECT key, SUM(qty), SUM(qty * price) FROM t GROUP BY key``.
 
-    ``SUM(qty)`` is returned as bigint for integral quantities; the revenue is
-    summed exactly as decimal and, by default, returned as double.
+    ``SUM(qty)`` is returned as bigint for integral quantities. Revenue of decimal
+    prices is summed exactly and, by default, returned as double. Revenue of double
+    or text prices is a sum of doubles: it keeps every digit of the prices, and its
+    own last digit may depend on the order in which partial sums meet.
     """
     qty_type = df.schema[qty].dataType
     price_type = df.schema[price].dataType
@@ -36,7 +38,7 @@ def sales_by_key(df: DataFrame, key: str = "sku", qty: str = "qty", price: str =
     total_qty = F.sum(qty_c)
     if isinstance(qty_type, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         total_qty = total_qty.cast("bigint")
-    revenue = F.sum(_exact_product(qty_c, price_c, price_type))
+    revenue = F.sum(_product(qty_c, price_c, price_type))
     if revenue_as_double:
         revenue = revenue.cast("double")
     return df.groupBy(F.col(q(key))).agg(total_qty.alias(qty_alias),

@@ -2,26 +2,31 @@
 
 Join strategy is left to Catalyst and adaptive execution: a side whose
 measured shuffle output is small is turned into a broadcast at run time, the
-rest is sort-merge joined. Two things are added on top:
+rest is sort-merge joined. Three things are added on top:
 
 * distinct is applied to the *inputs* of the joins, not to the joined rows.
   For left joins whose output carries every column of both sides,
   ``distinct(A LEFT JOIN B) == distinct(A) LEFT JOIN distinct(B)``, so the
   result is the same while the wide joined rows are never shuffled a second
   time, and the distinct hashes on all columns (a hot join key is spread out).
-* hot join keys can be salted: the rows of a key that would overflow one task
-  are spread over several salt buckets on the big side and the matching rows
-  of the other side are copied to each bucket.
+* the joins run on (key, bucket). Rows of a hot key get one of several
+  buckets and the matching rows of the other side are copied to each; rows
+  with a null key, which match nothing, are spread over all tasks; all other
+  rows are in bucket 0. All joins on one key share that partitioning, so the
+  big side moves once for all of them.
+* the other sides are deduplicated inside the same partitioning, so each of
+  them moves once as well.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .columns import q
 
@@ -40,67 +45,78 @@ def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, on=key, how="left")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is a bounded action (``limit(max_rows + 1).count()``), so it
-    stops early on a big input. Beyond the bound the frame is returned as is
-    and the join falls back to a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 @dataclass
 class HotKeys:
-    """Join keys that need salting and the number of salt buckets."""
-    keys: list
-    buckets: int
+    """Join keys to spread, each with its number of buckets."""
+    buckets: dict = field(default_factory=dict)
 
     @property
-    def empty(self) -> bool:
-        return not self.keys or self.buckets <= 1
-
-
-def detect_hot_keys(df: DataFrame, key: str, rows_per_task: int | None = None,
-                    max_keys: int = 256) -> HotKeys:
-    """Find keys whose rows would overflow one task, exactly.
-
-    One aggregation over the key column (partial counts map-side), then a
-    bounded top-``max_keys`` fetch. A key is hot when it holds more rows than
-    ``rows_per_task`` (default: the average rows per shuffle partition). At
-    most ``total / rows_per_task`` keys can be hot, so the fetched list is
-    small by construction; ``max_keys`` bounds it further.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.sum("n").alias("rows")).collect()[0]
-    total = totals["rows"] or 0
-    if rows_per_task is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows_per_task = max(1, total // max(parts, 1))
-    top = (counts.where(F.col("n") > F.lit(rows_per_task))
-           .orderBy(F.col("n").desc()).limit(max_keys).collect())
-    if not top:
-        return HotKeys([], 1)
-    buckets = max(2, math.ceil(top[0]["n"] / rows_per_task))
-    return HotKeys([r[key] for r in top if r[key] is not None], buckets)
+    def keys(self) -> list:
+        return list(self.buckets)
 
 
-def salt_big_side(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
-    """Spread the rows of hot keys over ``hot.buckets`` salt values.
+def _parallelism(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    The salt is a hash of the whole row, so it is the same on a task retry."""
-    is_hot = F.col(q(key)).isin(hot.keys)
-    spread = F.pmod(F.xxhash64(*[F.col(q(c)) for c in df.columns]), F.lit(hot.buckets))
-    return df.withColumn(SALT, F.when(is_hot, spread).otherwise(F.lit(0)).cast("int"))
 
+def detect_hot_keys(df: DataFrame, key: str, rows_per_task: int | None = None) -> HotKeys:
+    """Find the keys whose rows would overflow one task, exactly and all of them.
 
-def salt_small_side(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
-    """Copy the rows of hot keys to every salt bucket; other rows get salt 0."""
-    is_hot = F.col(q(key)).isin(hot.keys)
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(hot.buckets - 1))).otherwise(
-        F.array(F.lit(0)))
-    return df.withColumn(SALT, F.explode(salts))
+    One job: a grouped count (partial counts map-side) whose total is observed
+    on the way. A key is hot when it holds more than ``rows_per_task`` rows, by
+    default the average rows per shuffle partition; no more keys than there
+    are partitions (or ``total / rows_per_task``) can be, so that many rows
+    reach the driver at most. Null keys need no finding: see ``enrich``.
+    """
+    seen = Observation()
+    counts = (df.groupBy(F.col(q(key)).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+              .observe(seen, F.sum("n").alias("rows")).where(F.col("k").isNotNull()))
+    if rows_per_task is None:
+        parts = _parallelism(df)
+        top = counts.orderBy(F.col("n").desc()).limit(parts).collect()
+        rows_per_task = max(1, (seen.get["rows"] or 0) // parts)
+    else:
+        top = counts.where(F.col("n") > F.lit(rows_per_task)).collect()
+    return HotKeys({r["k"]: math.ceil(r["n"] / rows_per_task) for r in top
+                    if r["n"] > rows_per_task})
+
+
+def _buckets(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
+    """``df`` with the number of buckets of each row's key (null: not hot). The
+    list of hot keys is no longer than a shuffle has partitions."""
+    name = SALT + "_n"
+    if not hot.buckets:
+        return df.withColumn(name, F.lit(None).cast("int"))
+    schema = T.StructType([T.StructField(SALT + "_k", df.schema[key].dataType),
+                           T.StructField(name, T.IntegerType())])
+    listed = df.sparkSession.createDataFrame(list(hot.buckets.items()), schema)
+    return (df.join(F.broadcast(listed), F.col(q(key)) == F.col(SALT + "_k"), "left")
+            .drop(SALT + "_k"))
+
+
+def salt_big_side(df: DataFrame, key: str, hot: HotKeys, salt: str = SALT) -> DataFrame:
+    """Spread the rows of hot keys over their buckets and null keys over all tasks.
+
+    The bucket is a hash of the row and the partition it comes from: equal
+    rows of many partitions are spread too, and a retried task repeats it."""
+    cols = [F.col(q(c)) for c in df.columns]
+    spread = F.xxhash64(*cols, F.spark_partition_id())
+    n = F.col(SALT + "_n")
+    bucket = (F.when(F.col(q(key)).isNull(), F.pmod(spread, F.lit(_parallelism(df))))
+              .when(n.isNotNull(), F.pmod(spread, n)).otherwise(F.lit(0)))
+    return _buckets(df, key, hot).withColumn(salt, bucket.cast("int")).drop(SALT + "_n")
+
+
+def salt_small_side(df: DataFrame, key: str, hot: HotKeys, salt: str = SALT) -> DataFrame:
+    """Copy the rows of hot keys to each of their buckets; others are in bucket 0.
+    Rows with a null key match nothing and go."""
+    some = df.where(F.col(q(key)).isNotNull())
+    if not hot.buckets:
+        # not a literal: Catalyst would take it out of the join keys
+        return some.withColumn(salt, F.pmod(F.xxhash64(F.col(q(key))), F.lit(1)).cast("int"))
+    last = F.coalesce(F.col(SALT + "_n"), F.lit(1)) - F.lit(1)
+    return (_buckets(some, key, hot)
+            .withColumn(salt, F.explode(F.sequence(F.lit(0), last))).drop(SALT + "_n"))
 
 
 @dataclass
@@ -120,67 +136,44 @@ class Dim:
         return self.df.select(*[F.col(q(c)) for c in cols])
 
 
-def enrich(base: DataFrame, dims: Iterable[Dim], skew: str | HotKeys | None = None,
-           key: str | None = None, plan: str = "star") -> DataFrame:
+def enrich(base: DataFrame, dims: Iterable[Dim],
+           skew: str | HotKeys | dict[str, HotKeys] | None = None, counts=None) -> DataFrame:
     """fold of left joins over ``dims`` with optional per-join distinct.
 
     A distinct flagged on join ``i`` equals a distinct of the base and of
     dims ``1..i`` before joining (see the module note), which is what runs.
 
-    ``plan``: with one key shared by all dims, ``"star"`` (default) runs
-    ``base LEFT JOIN (d1 FULL JOIN d2 FULL JOIN ...)``. That is the same result
-    as the chain ``((base LEFT JOIN d1) LEFT JOIN d2) ...`` - a base row meets
-    the product of each dimension's matches, with one all-null row standing in
-    for a dimension without a match - but the big side is joined once. The
-    chain of sort-merge joins keeps the key partitioning between its joins,
-    which stops adaptive execution from splitting a hot key's partition; a
-    single join on top of the plan can be split. ``"chain"`` keeps the literal
-    fold.
-
-    ``skew``: ``None`` relies on adaptive execution; ``"detect"`` finds hot
-    keys of the base exactly (one extra aggregation over the key column) and
-    salts them; a ``HotKeys`` value salts the given keys. Salting needs all
-    dims to share one key.
+    ``skew``: ``"detect"`` finds the hot keys of the base exactly (one extra
+    aggregation over the key column, run at once) and spreads them; a
+    ``HotKeys`` value (or one per key column) spreads keys that are known;
+    ``None`` spreads null keys only. The result is the same in all cases.
+    ``counts``: a ``StageCounts`` that observes the rows after each join.
     """
     dims = list(dims)
     last_dedup = max((i for i, d in enumerate(dims) if d.dedup), default=-1)
-    left = distinct_rows(base) if last_dedup >= 0 else base
-    rights = [distinct_rows(d.frame()) if i <= last_dedup else d.frame()
-              for i, d in enumerate(dims)]
-
-    hot: HotKeys | None = None
-    if skew is not None and dims:
-        keys = {d.key for d in dims}
-        if len(keys) != 1:
-            raise ValueError("salting needs one join key shared by all dims")
-        shared = key or next(iter(keys))
-        hot = detect_hot_keys(left, shared) if skew == "detect" else skew
-        if not isinstance(hot, HotKeys):
+    out = distinct_rows(base) if last_dedup >= 0 else base
+    salts: dict[str, tuple[str, HotKeys]] = {}
+    for d in dims:
+        if d.key in salts:
+            continue
+        if skew == "detect":
+            hot = detect_hot_keys(base, d.key)
+        elif isinstance(skew, dict):
+            hot = skew.get(d.key, HotKeys())
+        elif skew is None or isinstance(skew, HotKeys):
+            hot = skew or HotKeys()
+        else:
             raise ValueError(f"skew must be None, 'detect' or HotKeys, got {skew!r}")
-        if hot.empty:
-            hot = None
-
-    same_key = len({d.key for d in dims}) == 1
-    if plan == "star" and same_key and len(rights) > 1:
-        # items LEFT JOIN (A FULL JOIN B FULL JOIN ...): the dimensions are
-        # combined among themselves first, so the big side meets one join.
-        combined = rights[0]
-        for r in rights[1:]:
-            combined = combined.join(r, on=dims[0].key, how="full")
-        rights = [combined]
-        dims = dims[:1]
-    elif plan not in ("star", "chain"):
-        raise ValueError(f"plan must be star or chain, got {plan!r}")
-
-    if hot is None:
-        out = left
-        for d, r in zip(dims, rights):
-            out = left_join(out, r, d.key)
-        return out
-
-    shared = dims[0].key
-    out = salt_big_side(left, shared, hot)
-    for r in rights:
-        out = out.join(salt_small_side(r, shared, hot), on=[shared, SALT], how="left")
-    return out.drop(SALT)
-
+        name = f"{SALT}{len(salts)}"
+        salts[d.key] = (name, hot)
+        out = salt_big_side(out, d.key, hot, name)
+    for i, d in enumerate(dims):
+        name, hot = salts[d.key]
+        right = salt_small_side(d.frame(), d.key, hot, name)
+        if i <= last_dedup:
+            # one move: the join and the distinct both find the rows in place
+            right = distinct_rows(right.repartition(F.col(q(d.key)), F.col(name)))
+        out = out.join(right, on=[d.key, name], how="left")
+        if counts is not None:
+            out = counts.track(out, f"join_{i + 1}")
+    return out.drop(*[name for name, _ in salts.values()])

@@ -2,12 +2,14 @@
 
 The original jobs called ``count()`` after each step; every call is a
 separate job that recomputes its input. ``observe`` attaches named counters
-to a plan instead; they are filled while the one final action runs.
+to a plan instead; they are filled while the one final action runs. They are
+sums over finished tasks: where a lost executor makes Spark run tasks of a
+stage again, rows of those tasks may be counted twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -24,10 +26,12 @@ class StageCounts:
     def __init__(self) -> None:
         self._obs: dict[str, Observation] = {}
 
-    def track(self, df: DataFrame, name: str) -> DataFrame:
+    def track(self, df: DataFrame, name: str, where: Column | None = None) -> DataFrame:
+        """Count the rows of ``df``, or those for which ``where`` holds."""
         obs = Observation(name)
         self._obs[name] = obs
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        rows = F.count(F.lit(1)) if where is None else F.count_if(where)
+        return df.observe(obs, rows.alias("rows"))
 
     def get(self) -> dict[str, int]:
         return {name: obs.get["rows"] for name, obs in self._obs.items()}
