@@ -173,3 +173,13 @@ def test_sales_by_sku(spark):
         "price", F.col("price").cast("decimal(10,2)"))
     out = {r.sku: (r.qty, r.revenue) for r in sales_by_sku(df).collect()}
     assert out == {"A": (5, 8.35), "B": (1, 0.1)}
+
+
+def test_sales_keep_every_digit(spark):
+    from decimal import Decimal
+    from unfurl.plans.sales import sales_by_sku
+    for price, kind in ((0.004, "double"), ("0.004", "string"), (Decimal("0.004"), "decimal(10,4)")):
+        df = spark.createDataFrame([("a", 1000, price), ("a", 500, price)], f"sku string, qty int, price {kind}")
+        assert tuple(sales_by_sku(df).first()) == ("a", 1500, 6.0)
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 3, "1.5"), ("b", 1, None)], "sku string, qty int, price string")
+    assert sorted(map(tuple, sales_by_sku(df).collect())) == [("a", 5, 4.5), ("b", 1, None)]

@@ -1,4 +1,4 @@
-"""Native expressions against Python models of the original rules."""
+"""Cases, and properties that any input must show."""
 
 import pytest
 from hypothesis import given, settings
@@ -8,33 +8,6 @@ from pyspark.sql import functions as F
 from unfurl.functions import text as TX
 
 
-# Python models of the original row-at-a-time rules.
-def model_unwrap(a):
-    if a is None:
-        return None
-    if len(a) == 1:
-        return a[0]
-    return "[" + ", ".join("null" if x is None else x for x in a) + "]"
-
-
-def model_tail(s, marker="url="):
-    if s:
-        return s[s.index(marker) + len(marker):]
-    return s
-
-
-def model_date(s):
-    if s and isinstance(s, str):
-        return s.split("T")[0]
-    return None
-
-
-def model_log_date(s):
-    if s:
-        return s.split(" ")[0]
-    return "null_time"
-
-
 def test_unwrap_cases(spark):
     rows = [(["x", "y"],), ([],), (None,), ([None],), (["a"],), (["x", None],)]
     df = spark.createDataFrame(rows, "a array<string>")
@@ -55,30 +28,42 @@ texts = st.one_of(st.none(), st.text(alphabet="ab =url\nT-:", max_size=12))
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.lists(st.one_of(st.none(), st.text(max_size=4)),
                                                max_size=3)), min_size=1, max_size=20))
-def test_unwrap_matches_model(spark, arrays):
+def test_unwrap_properties(spark, arrays):
     df = spark.createDataFrame([(a,) for a in arrays], "a array<string>")
     got = [r[0] for r in df.select(TX.unwrap_single("a")).collect()]
-    assert got == [model_unwrap(a) for a in arrays]
+    for a, text in zip(arrays, got):
+        if a is None:
+            assert text is None
+        elif len(a) != 1:
+            assert text[0] == "[" and text[-1] == "]"
+            assert len(text) == 2 + sum(4 if x is None else len(x) for x in a) + 2 * max(len(a) - 1, 0)
+        else:
+            assert text == a[0]
 
 
 @settings(max_examples=30, deadline=None)
 @given(st.lists(texts, min_size=1, max_size=25))
-def test_dates_match_model(spark, values):
+def test_dates_are_prefixes(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
-    got = df.select(TX.extract_date("s"), TX.extract_log_date("s")).collect()
-    assert [r[0] for r in got] == [model_date(v) for v in values]
-    assert [r[1] for r in got] == [model_log_date(v) for v in values]
+    for v, r in zip(values, df.select("s", TX.extract_date("s"), TX.extract_log_date("s")).collect()):
+        _, day, log_day = r
+        if not v:
+            assert day is None and log_day == "null_time"
+            continue
+        for part, mark in ((day, "T"), (log_day, " ")):
+            assert mark not in part and v.startswith(part)
+            assert part == v or v[len(part)] == mark
 
 
 @settings(max_examples=30, deadline=None)
-@given(st.lists(texts, min_size=1, max_size=25))
-def test_tail_matches_model(spark, values):
-    values = [v for v in values if not v or "url=" in v]
-    if not values:
-        return
+@given(st.lists(st.tuples(texts, texts), min_size=1, max_size=25))
+def test_tail_and_head_give_the_text(spark, pairs):
+    # head + marker + tail is the text, and the head holds no earlier marker
+    values = [f"{a or ''}url={b or ''}" for a, b in pairs]
     df = spark.createDataFrame([(v,) for v in values], "s string")
-    got = [r[0] for r in df.select(TX.suffix_after("s")).collect()]
-    assert got == [model_tail(v) for v in values]
+    for v, (tail,) in zip(values, df.select(TX.suffix_after("s")).collect()):
+        head = v[:len(v) - len(tail)]
+        assert head + tail == v and head.endswith("url=") and head.find("url=") == len(head) - 4
 
 
 def test_tail_cases(spark):
@@ -116,8 +101,9 @@ def test_safe_cast(spark):
 def test_sql_functions(spark):
     TX.register_sql_functions(spark)
     row = spark.sql("SELECT extract_log_date('2021-10-01 05:50'), extract_date('2021-10-01T05'),"
-                    " extract_message('x url=/y'), extract_log_date(NULL)").first()
-    assert tuple(row) == ("2021-10-01", "2021-10-01", "/y", "null_time")
+                    " extract_message('x url=/y'), extract_log_date(NULL), unwrap_single(array('a')),"
+                    " unwrap_single(array('a', NULL)), unwrap_single(array()), unwrap_single(NULL)").first()
+    assert tuple(row) == ("2021-10-01", "2021-10-01", "/y", "null_time", "a", "[a, null]", "[]", None)
 
 
 def test_native_rules_stay_in_jvm(spark):

@@ -26,9 +26,3 @@ def typed_body(c: Column | str, schema: T.StructType | str) -> Column:
     fields, absent parts -> null."""
     col = F.col(c) if isinstance(c, str) else c
     return F.from_json(col, schema)
-
-
-def json_field(c: Column | str, path: str) -> Column:
-    """I3 helper: one string leaf of JSON text by path (``$.a.b``)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.get_json_object(col, path)

@@ -105,7 +105,12 @@ def safe_cast(c: ColumnOrName, to: str = "double") -> Column:
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """Expose J2-J4 to SQL as temporary SQL functions (no Python at run time)."""
+    """Expose J1-J4 to SQL as temporary SQL functions (no Python at run time). The
+    list form of J1 takes ``array<string>``: cast other element types first."""
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION unwrap_single(a ARRAY<STRING>) RETURNS STRING "
+        "RETURN CASE WHEN size(a) = 1 THEN get(a, 0) "
+        "WHEN a IS NOT NULL THEN concat('[', array_join(a, ', ', 'null'), ']') END")
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION extract_date(s STRING) RETURNS STRING "
         "RETURN CASE WHEN s IS NULL OR s = '' THEN NULL "

@@ -8,6 +8,9 @@ and runs unchanged on a stream.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,26 +55,40 @@ def log_records_etl(records: DataFrame, *, method: str = KEPT_METHOD,
 
 def log_etl(lines: DataFrame, *, text_col: str = "value",
             prefilter: str | None = POST_PREFILTER, schema=LOG_LINE_SCHEMA,
-            **kwargs) -> DataFrame:
+            counts=None, **kwargs) -> DataFrame:
     """PL6/PL7: text lines holding one JSON object each.
 
     prefilter: cheap literal test on the raw line before decoding (pushed to
     the text scan); ``None`` decodes every line. Malformed lines decode to
-    nulls and are removed by the method filter.
+    nulls and are removed by the method filter; ``counts`` (a ``StageCounts``)
+    counts ``lines``, those that pass the prefilter, ``malformed`` ones among
+    them, and rows ``written``.
     """
-    df = lines.where(is_not_null(text_col))
+    def seen(df: DataFrame, name: str, where=None) -> DataFrame:
+        return df if counts is None else counts.track(df, name, where)
+
+    df = seen(lines, "lines").where(is_not_null(text_col))
     if prefilter:
         df = df.where(contains_text(text_col, prefilter))
-    df = decode_once(df, text_col, schema)
+    df = decode_once(seen(df, "prefiltered"), text_col, schema)
     df = select_columns(df, LOG_FOCUS_COLUMNS)
-    return log_records_etl(df, **kwargs)
+    empty = reduce(and_, [col(c).isNull() for c in LOG_FOCUS_COLUMNS])
+    return seen(log_records_etl(seen(df, "malformed", empty), **kwargs), "written")
 
 
 def passthrough(docs: DataFrame, partition_key: str | None = None) -> DataFrame:
-    """PL10: documents unchanged; the sink partitions by ``partition_key``.
+    """PL10 on columns: rows unchanged; the sink partitions by ``partition_key``.
 
     With a key, rows are rebalanced on it so each output folder gets few,
     evenly sized files (adaptive execution splits a hot key's partition)."""
     if partition_key is None:
         return docs
     return docs.hint("rebalance", partition_key)
+
+
+def passthrough_text(docs: DataFrame, document: str, partition_key: str) -> DataFrame:
+    """PL10 on variants: every document as its JSON text with all the fields it
+    has, beside the string field to partition by; rebalanced on that."""
+    rows = docs.select(F.to_json(F.col(document)).alias("value"),
+                       F.try_variant_get(document, f"$.{partition_key}", "string").alias(partition_key))
+    return rows.hint("rebalance", partition_key)

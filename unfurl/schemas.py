@@ -97,7 +97,3 @@ ORDERS_SCHEMA = T.StructType([
     T.StructField("lastUpdateDate", S),
     T.StructField("orderStatus", S),
 ])
-
-ENRICHED_ORDER_COLUMNS = ["amazonOrderId", "buyerEmail", "countryCode", "city", "order_date",
-                          "purchaseDate", "orderStatus", "SKU", "orderItemId", "quantity",
-                          "price"]

@@ -1,4 +1,4 @@
-"""Sinks (B1-B4, B6): JSON and Parquet, plain or partitioned.
+"""Sinks (B1-B3, B6): JSON and Parquet, plain or partitioned.
 
 ``mode`` is required: the plain writer's default fails when the path exists,
 and a silent default would hide that choice.
@@ -20,14 +20,11 @@ MODES = ("error", "errorifexists", "overwrite", "append", "ignore")
 
 
 def _prepare(df: DataFrame, mode: str, partition_by: Sequence[str] | None,
-             single_file: bool, rebalance: bool):
+             rebalance: bool):
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     keys = list(partition_by or [])
-    if single_file:
-        # Every row goes through one task; only for small outputs.
-        df = df.coalesce(1)
-    elif keys and rebalance:
+    if keys and rebalance:
         df = df.hint("rebalance", *keys)
     w = df.write.mode(mode)
     if keys:
@@ -36,27 +33,28 @@ def _prepare(df: DataFrame, mode: str, partition_by: Sequence[str] | None,
 
 
 def write_json(df: DataFrame, path: str, *, mode: str,
-               partition_by: Sequence[str] | None = None, single_file: bool = False,
-               rebalance: bool = True, compression: str | None = None) -> None:
-    """B1 (partitioned), B3 (plain) and B4 (``single_file=True``) JSON output.
+               partition_by: Sequence[str] | None = None, rebalance: bool = True,
+               compression: str | None = None) -> None:
+    """B1 (partitioned) and B3 (plain) JSON output.
     Null fields are omitted from the written objects."""
-    w = _prepare(df, mode, partition_by, single_file, rebalance)
+    w = _prepare(df, mode, partition_by, rebalance)
     if compression:
         w = w.option("compression", compression)
     w.json(path)
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str,
-                  partition_by: Sequence[str] | None = None, single_file: bool = False,
-                  rebalance: bool = True) -> None:
+                  partition_by: Sequence[str] | None = None, rebalance: bool = True) -> None:
     """B2: Parquet output, by default partitioned by the given keys."""
-    _prepare(df, mode, partition_by, single_file, rebalance).parquet(path)
+    _prepare(df, mode, partition_by, rebalance).parquet(path)
 
 
 def write_text(df: DataFrame, path: str, *, mode: str,
-               partition_by: Sequence[str] | None = None) -> None:
-    """Text lines (one string column), used to lay out raw log files."""
-    _prepare(df, mode, partition_by, False, False).text(path)
+               partition_by: Sequence[str] | None = None, file_per_row: bool = False) -> None:
+    """Text lines (one string column), used to lay out raw log files. With
+    ``file_per_row`` every row is a file of its own (a whole document)."""
+    w = _prepare(df, mode, partition_by, False)
+    (w.option("maxRecordsPerFile", 1) if file_per_row else w).text(path)
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
@@ -67,10 +65,3 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
 def schema_text(df: DataFrame) -> str:
     """The tree form of ``printSchema`` as a string."""
     return df.schema.treeString()
-
-
-def null_partition_value(column: str):
-    """Null and ``""`` partition values both land in the default partition
-    folder and read back as null; this expression shows that mapping."""
-    c = F.col(column)
-    return F.when(c == F.lit(""), F.lit(None)).otherwise(c)

@@ -137,8 +137,10 @@ def _message() -> Column:
     return F.when(F.col("value") > 400, F.lit("")).otherwise(text)
 
 
-def log_records(events: DataFrame) -> DataFrame:
-    """Operation-log records (the 10 fields of a log line) from ``events``.
+def log_records(events: DataFrame, hourly: bool = False) -> DataFrame:
+    """Operation-log records (the 10 fields of a log line) from ``events``;
+    ``hourly`` cuts ``log_timestamp`` to the hour, as collectors that stamp
+    batches do.
 
     ``postData`` is the event's JSON object, kept as an object so a
     string-typed decode yields its compact text."""
@@ -146,7 +148,7 @@ def log_records(events: DataFrame) -> DataFrame:
         _method().alias("method"),
         F.date_format("ts", ISO_SECONDS + "'Z'").alias("@timestamp"),
         F.concat(F.lit("req-"), _s("event_id")).alias("request_id"),
-        _log_timestamp().alias("log_timestamp"),
+        (F.date_format("ts", "yyyy-MM-dd HH:00:00") if hourly else _log_timestamp()).alias("log_timestamp"),
         _message().alias("message"),
         F.from_json("props", "k int").alias("postData"),
         F.concat(F.lit("user"), _s("user_id")).alias("log_user"),
@@ -176,11 +178,13 @@ def request_body(events: DataFrame) -> Column:
                  F.concat(F.lit("city-"), F.col("event_type")).alias("city"),
                  F.lit("WA").alias("state"), F.lit("US").alias("countryCode"),
                  F.lpad(k, 5, "0").alias("postalCode")).alias("destinationAddress"),
-        F.array(F.struct(F.concat(F.lit("SKU-"), k).alias("merchantSku"),
-                         F.concat(F.lit("ASIN"), k).alias("asin"),
-                         F.concat(F.lit("FN"), k).alias("fnSku"),
-                         k.cast("int").alias("quantity"),
-                         _s("event_id").alias("referenceItemId"))).alias("items"),
+        # one to three items
+        F.transform(F.sequence(F.lit(1), F.pmod(F.col("event_id"), F.lit(3)).cast("int") + 1), lambda i: F.struct(
+            F.concat(F.lit("SKU-"), k, F.lit("-"), i.cast("string")).alias("merchantSku"),
+            F.concat(F.lit("ASIN"), k).alias("asin"),
+            F.concat(F.lit("FN"), k).alias("fnSku"),
+            (k.cast("int") + i).alias("quantity"),
+            F.concat_ws("-", _s("event_id"), i.cast("string")).alias("referenceItemId"))).alias("items"),
         (F.col("value") > 100).alias("shouldIncludeCOD"),
         F.lit(False).alias("shouldIncludeDeliveryWindows"),
         F.lit(False).alias("isBlankBoxRequired"),
@@ -196,12 +200,14 @@ def _hostnames() -> Column:
             .otherwise(F.array(F.concat(F.lit("host-"), F.col("event_type")))))
 
 
-def search_hits(events: DataFrame) -> DataFrame:
+def search_hits(events: DataFrame, hourly: bool = False) -> DataFrame:
     """Search hits: ``_index, _type, _id, _version, _score, fields{...}`` where
-    every field is a list and some keys contain dots."""
+    every field is a list and some keys contain dots. ``hourly`` cuts
+    ``log_timestamp`` to the hour."""
+    stamp = "yyyy-MM-dd'T'HH:00:00'Z'" if hourly else "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
     one = lambda c: F.array(c)
     fields = F.struct(
-        one(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("log_timestamp"),
+        one(F.date_format("ts", stamp)).alias("log_timestamp"),
         one(F.concat(F.lit("user"), _s("user_id"))).alias("log_user"),
         one(F.concat(F.col("event_type"), F.lit("-log"))).alias("fields.log_type"),
         one(F.concat(F.col("event_type"), F.lit("-log"))).alias("fields.log_type.keyword"),
@@ -227,35 +233,33 @@ def search_hits(events: DataFrame) -> DataFrame:
 
 # -- file layouts in the shared folder ------------------------------------------
 
-def _doc_id(rows_per_doc: int) -> Column:
-    # position inside the input split (low 33 bits of the generated id), paged
-    offset = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    page = F.floor(offset / F.lit(rows_per_doc))
-    return F.concat_ws("-", _s(F.spark_partition_id()), _s(page))
+DOC_BYTES = 8 << 20
 
 
-def _documents(df: DataFrame, rows_per_doc: int) -> DataFrame:
-    rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("j"),
-                     _doc_id(rows_per_doc).alias("doc"))
-    return rows.groupBy("doc").agg(F.collect_list("j").alias("items"))
+def _documents(df: DataFrame, doc_bytes: int, before: str, after: str) -> DataFrame:
+    """``df`` as documents of about ``doc_bytes`` (four at least), one per row.
 
+    A row's document is a hash of its text and of the partition it comes from, so a
+    task that runs again deals its rows to the same documents."""
+    rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("j"))
+    total = rows.agg(F.sum(F.octet_length("j"))).first()[0] or 0
+    n = max(4, -(-total // doc_bytes))
+    doc = F.pmod(F.xxhash64("j", F.spark_partition_id()), F.lit(n))
+    docs = rows.groupBy(doc.alias("doc")).agg(F.collect_list("j").alias("items"))
+    return docs.select(F.concat(F.lit(before), F.array_join("items", ","), F.lit(after)).alias("value"))
 
-def stage_json_array(df: DataFrame, path: str, rows_per_doc: int = 10_000) -> str:
-    """Write ``df`` as root-array documents ``[{...}, ...]``, one per file, in
-    folders ``doc=<id>/`` (read back with ``recursive=True``). Every row is
-    written; a document holds at most ``rows_per_doc`` of them."""
-    docs = _documents(df, rows_per_doc).select(
-        F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("value"), "doc")
-    write_text(docs, path, mode="overwrite", partition_by=["doc"])
+
+def stage_json_array(df: DataFrame, path: str, doc_bytes: int = DOC_BYTES) -> str:
+    """Write ``df`` as root-array documents ``[{...}, ...]``, one per file, in a
+    subfolder (read back with ``recursive=True``). Every row is written."""
+    write_text(_documents(df, doc_bytes, "[", "]"), f"{path}/docs", mode="overwrite", file_per_row=True)
     return path
 
 
-def stage_json_nested(df: DataFrame, path: str, rows_per_doc: int = 10_000) -> str:
+def stage_json_nested(df: DataFrame, path: str, doc_bytes: int = DOC_BYTES) -> str:
     """Like ``stage_json_array`` with layout ``[[{...}, ...], []]``: records in
     the first inner array, an empty second one."""
-    docs = _documents(df, rows_per_doc).select(
-        F.concat(F.lit("[["), F.array_join("items", ","), F.lit("],[]]")).alias("value"), "doc")
-    write_text(docs, path, mode="overwrite", partition_by=["doc"])
+    write_text(_documents(df, doc_bytes, "[[", "],[]]"), f"{path}/docs", mode="overwrite", file_per_row=True)
     return path
 
 

@@ -7,11 +7,15 @@ layout                     reader             splittable
 =========================  =================  ==================================
 ``[{...}, ...]``           read_json_array    no: one task per file
 ``[[{...}], [{...}]]``     read_json_nested   no: one task per file (whole text)
-``{...}`` per file         read_json_document no: one task per file
+any JSON, one per file     read_json_document no: one task per file
 ``{...}`` per line         read_json_lines    yes
 any text, per line         read_lines         yes
 =========================  =================  ==================================
 
+Documents that do not parse are never lost in silence: a ``counts``
+(``StageCounts``) counts them during the one action, and ``on_bad="fail"``
+stops the job.
+
 Multi-line documents cannot be split, so at scale the input should be many
 moderately sized files (the whole-text reader holds one file in memory and is
 limited to 2 GB per file); JSON lines and text lines split freely.
@@ -47,49 +51,82 @@ def _reader(spark: SparkSession, schema: Schema, recursive: bool,
     return r
 
 
+def _rejects(df: DataFrame, bad, counts, name: str, on_bad: str) -> DataFrame:
+    """Count the rows of ``df`` where ``bad`` holds, or fail on the first."""
+    if on_bad not in ("keep", "fail"):
+        raise ValueError(f"on_bad must be keep or fail, got {on_bad!r}")
+    if on_bad == "fail":
+        stop = F.raise_error(F.lit(f"{name}: a document does not parse")).cast("boolean")
+        df = df.where(F.when(bad, stop).otherwise(F.lit(True)))
+    return df if counts is None else counts.track(df, name, bad)
+
+
 def read_json_array(spark: SparkSession, paths: Paths, schema: Schema = None, *,
-                    recursive: bool = False, sampling_ratio: float | None = None) -> DataFrame:
+                    recursive: bool = False, sampling_ratio: float | None = None,
+                    counts=None, on_bad: str = "keep") -> DataFrame:
     """A1 (record path ``$[*]``) and A4: one row per element of a root array;
-    an object file gives one row. ``schema=None`` infers (A11)."""
+    an object file gives one row. ``schema=None`` infers (A11). A file that does
+    not parse gives one row of nulls; with ``counts``, ``bad_documents`` counts such rows."""
     r = _reader(spark, schema, recursive, sampling_ratio).option("multiLine", "true")
-    return r.json(_paths(paths))
+    df = r.json(_paths(paths))
+    if counts is None and on_bad == "keep":
+        return df
+    empty = F.lit(True)
+    for c in df.columns:
+        empty = empty & F.col(f"`{c}`").isNull()
+    return _rejects(df, empty, counts, "bad_documents", on_bad)
+
+
+def _whole_texts(spark: SparkSession, paths: Paths, recursive: bool) -> DataFrame:
+    text = spark.read.options(**({"recursiveFileLookup": "true"} if recursive else {}))
+    return text.text(_paths(paths), wholetext=True)
+
+
+def _struct(spark: SparkSession, schema: T.StructType | str) -> T.StructType:
+    return schema if not isinstance(schema, str) else spark.createDataFrame([], schema).schema
 
 
 def read_json_nested(spark: SparkSession, paths: Paths, schema: T.StructType | str, *,
-                     index: int = 0, recursive: bool = False) -> DataFrame:
+                     index: int = 0, recursive: bool = False, counts=None,
+                     on_bad: str = "keep") -> DataFrame:
     """A2 (record path ``$[0][*]``): one row per element of the ``index``-th
-    inner array of a root array of arrays. Needs an explicit schema.
+    inner array of a root array of arrays. Needs an explicit schema; any field
+    names will do.
 
     The plain multi-line reader turns such a file into a single null row, so
-    the document is read as whole text and decoded here. A file whose root
-    does not match decodes to null and contributes no rows.
+    the document is read as whole text and decoded here. A file that does not
+    parse, or has another root, contributes no rows; with ``counts``,
+    ``bad_documents`` counts such files.
     """
     if schema is None:
         raise ValueError("read_json_nested needs an explicit record schema")
-    elem = schema if isinstance(schema, str) else schema.simpleString()
-    doc_type = f"array<array<{elem}>>"
-    text = spark.read.options(**({"recursiveFileLookup": "true"} if recursive else {}))
-    raw = text.text(_paths(paths), wholetext=True)
-    inner = F.get(F.from_json(F.col("value"), doc_type), index)
-    return raw.select(F.inline(inner))
+    doc_type = T.ArrayType(T.ArrayType(_struct(spark, schema)))
+    docs = _whole_texts(spark, paths, recursive).select(
+        F.from_json(F.col("value"), doc_type).alias("d"))
+    docs = _rejects(docs, F.col("d").isNull(), counts, "bad_documents", on_bad)
+    return docs.select(F.inline(F.get(F.col("d"), index)))
 
 
 def read_json_document(spark: SparkSession, paths: Paths, schema: Schema = None, *,
-                       recursive: bool = False) -> DataFrame:
-    """A3 (record path ``$``): one row per file.
-
-    With a struct schema each file's object becomes one row; with an array
-    schema the whole array is kept in one ``document`` column. Without a
-    schema the object layout is inferred (A11)."""
+                       recursive: bool = False, counts=None, on_bad: str = "keep") -> DataFrame:
+    """A3 (record path ``$``): one row per file, whatever its root is.
+
+    Without a schema the whole document is one ``variant`` in column ``document``:
+    no field is dropped or renamed. With a struct schema each file's object
+    becomes one row; with an array schema the array is kept in ``document``. A
+    file that does not parse is a null ``document`` (a row of nulls); with
+    ``counts``, ``bad_documents`` counts such files."""
+    raw = _whole_texts(spark, paths, recursive)
     if schema is None:
-        return read_json_array(spark, paths, None, recursive=recursive)
-    text = spark.read.options(**({"recursiveFileLookup": "true"} if recursive else {}))
-    raw = text.text(_paths(paths), wholetext=True)
-    parsed = F.from_json(F.col("value"), schema)
-    dtype = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    if isinstance(dtype, T.StructType):
-        return raw.select(F.inline(F.array(parsed)))
-    return raw.select(parsed.alias("document"))
+        docs = raw.select(F.try_parse_json("value").alias("document"))
+        return _rejects(docs, F.col("document").isNull(), counts, "bad_documents", on_bad)
+    if isinstance(schema, str) and not schema.lstrip().lower().startswith("array"):
+        schema = _struct(spark, schema)
+    docs = raw.select(F.from_json(F.col("value"), schema).alias("document"))
+    docs = _rejects(docs, F.col("document").isNull(), counts, "bad_documents", on_bad)
+    if isinstance(schema, T.StructType):
+        return docs.select(F.inline(F.array("document")))
+    return docs
 
 
 def read_json_lines(spark: SparkSession, paths: Paths, schema: Schema = None, *,
