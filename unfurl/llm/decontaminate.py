@@ -235,3 +235,29 @@ def match(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str =
 
     return common.append_columns(docs, [text], fill, RESULT)
 
+
+
+def sql(size: int = 10) -> str:
+    """The query's columns over ``documents`` and ``benchmark`` in DuckDB SQL."""
+    def cut(table: str, cols: str) -> str:
+        return (f"SELECT {cols}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                rf"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table}")
+    return f"""
+WITH d AS ({cut("documents", "doc_id")}),
+b AS ({cut("benchmark", "row_number() OVER () AS item, coalesce(item_id::VARCHAR, '') AS name")}),
+bw AS (SELECT item, name, k, n, array_to_string(w[k:k + n - 1], ' ') AS win
+       FROM (SELECT *, least({size}, len(w)) AS n, unnest(range(1, len(w) - least({size}, len(w)) + 2)) AS k FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS win
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+h AS (SELECT doc_id, p, n, item, name, k FROM dw JOIN bw USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS x FROM (SELECT DISTINCT doc_id, p, n FROM h)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS items FROM (SELECT DISTINCT doc_id, name FROM h) GROUP BY doc_id),
+isl AS (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item, p - k ORDER BY p) AS island FROM h),
+run AS (SELECT doc_id, item, name, diagonal, island, min(p) - 1 AS start, count(*) + max(n) - 1 AS words
+        FROM (SELECT *, p - k AS diagonal FROM isl) GROUP BY ALL),
+top AS (SELECT doc_id, words AS longest, name AS longest_item, start AS longest_start FROM run
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY words DESC, item, diagonal, start) = 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest, 0) AS longest,
+       coalesce(longest_item, '') AS longest_item, coalesce(longest_start, -1) AS longest_start
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN top USING (doc_id)"""

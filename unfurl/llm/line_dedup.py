@@ -242,3 +242,17 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if chars_col in docs.columns:
         cols[chars_col] = F.length("_ld_text").cast(docs.schema[chars_col].dataType)
     return new.select(*[cols.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
+def sql(min_chars: int = 20, min_docs: int = 3) -> str:
+    """Lines before and dropped, and the digest of what stays, over ``documents`` in DuckDB SQL."""
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH l AS (SELECT doc_id, i, ln[i] AS line, translate(trim(ln[i], {blanks}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+           FROM (SELECT doc_id, ln, unnest(range(1, len(ln) + 1)) AS i
+                 FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ln FROM documents))),
+f AS (SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= {min_chars} GROUP BY k HAVING count(DISTINCT doc_id) >= {min_docs}),
+j AS (SELECT l.*, f.k IS NOT NULL AND doc_id <> keeper AS gone FROM l LEFT JOIN f ON f.k = l.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id"""
