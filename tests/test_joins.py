@@ -69,7 +69,7 @@ def test_salted_join_is_exact(spark, base_rows, dim_rows, buckets):
 def test_detect_hot_keys(spark):
     rows = [("hot", i) for i in range(300)] + [(f"c{i}", i) for i in range(100)]
     df = spark.createDataFrame(rows, "k string, v int")
-    hot = detect_hot_keys(df, "k", rows_per_task=50)
+    hot = detect_hot_keys(df, "k", rows_per_task=50, every=1)
     assert hot.buckets == {"hot": 6}
     dim = spark.createDataFrame([("hot", "x"), ("c1", "y")], "k string, d string")
     auto = enrich(df, [Dim(dim, "k")], skew="detect")
@@ -80,12 +80,18 @@ def test_all_hot_keys_are_found(spark):
     # 400 keys over the threshold: none is left out
     rows = [(f"k{i % 400}", i) for i in range(4000)] + [(f"c{i}", i) for i in range(50)]
     df = spark.createDataFrame(rows, "k string, v int")
-    hot = detect_hot_keys(df, "k", rows_per_task=5)
+    hot = detect_hot_keys(df, "k", rows_per_task=5, every=1)
     assert set(hot.keys) == {f"k{i}" for i in range(400)} and set(hot.buckets.values()) == {2}
     dim = spark.createDataFrame([(f"k{i}", str(i)) for i in range(0, 400, 3)], "k string, d string")
     assert bag(enrich(df, [Dim(dim, "k")], skew=hot)) == bag(left_join(df, dim, "k"))
 
 
+def test_hot_keys_are_found_by_part_of_the_rows(spark):
+    df = spark.range(200_000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) k").repartition(8)
+    hot = detect_hot_keys(df, "k")
+    assert hot.keys == ["hot"] and hot.buckets["hot"] == 2      # a third of the rows, over 4 partitions
+
+
 def largest_bucket(df, key, hot):
     n = salt_big_side(df, key, hot).groupBy(key, SALT).count().agg({"count": "max"}).first()[0]
     return n / df.count()

@@ -695,12 +695,12 @@ def q_hit_flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _body_columns(hit_flatten(SRC.read_json_array(spark, path, hits.schema, recursive=True)))
 
 
-def _stage_orders(spark: SparkSession, sf_dir: str, nested: bool):
+def _stage_orders(spark: SparkSession, sf_dir: str, nested: bool, doc_bytes: int = D.DOC_BYTES):
     items, address, buyer, orders = _order_inputs(spark, sf_dir)
     stage = D.stage_json_nested if nested else D.stage_json_array
-    paths = [stage(df, _stage(spark, n)) for df, n in
+    paths = [stage(df, _stage(spark, n), doc_bytes) for df, n in
              [(items, "order_items"), (address, "order_address"), (buyer, "order_buyer_info")]]
-    paths.append(D.stage_json_array(orders, _stage(spark, "orders")))
+    paths.append(D.stage_json_array(orders, _stage(spark, "orders"), doc_bytes))
     return paths
 
 

@@ -59,22 +59,30 @@ def _parallelism(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def detect_hot_keys(df: DataFrame, key: str, rows_per_task: int | None = None) -> HotKeys:
-    """Find the keys whose rows would overflow one task, exactly and all of them.
+def detect_hot_keys(df: DataFrame, key: str, rows_per_task: int | None = None,
+                    every: int = 16) -> HotKeys:
+    """Find the keys whose rows would overflow one task, all of them.
 
     One job: a grouped count (partial counts map-side) whose total is observed
-    on the way. A key is hot when it holds more than ``rows_per_task`` rows, by
-    default the average rows per shuffle partition; no more keys than there
-    are partitions (or ``total / rows_per_task``) can be, so that many rows
-    reach the driver at most. Null keys need no finding: see ``enrich``.
+    on the way. It counts one row in ``every``; a key with more than a task's
+    share of a large table has many thousands of rows, so that is close, and it
+    only decides how rows are dealt, never the result. A key is hot when it
+    holds more than ``rows_per_task`` rows, by default the average rows per
+    shuffle partition; no more keys than there are partitions (or
+    ``total / rows_per_task``) can be, so that many rows reach the driver at
+    most. Null keys need no finding: see ``enrich``.
     """
     seen = Observation()
-    counts = (df.groupBy(F.col(q(key)).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    rows = df.select(F.col(q(key)).alias("k"))
+    if every > 1:
+        rows = rows.where(F.pmod(F.monotonically_increasing_id(), F.lit(every)) == 0)
+    counts = (rows.groupBy("k").agg((F.count(F.lit(1)) * every).alias("n"))
               .observe(seen, F.sum("n").alias("rows")).where(F.col("k").isNotNull()))
     if rows_per_task is None:
         parts = _parallelism(df)
         top = counts.orderBy(F.col("n").desc()).limit(parts).collect()
-        rows_per_task = max(1, (seen.get["rows"] or 0) // parts)
+        # a task's share of a tiny table is no load worth dealing anew
+        rows_per_task = max(1000, (seen.get["rows"] or 0) // parts)
     else:
         top = counts.where(F.col("n") > F.lit(rows_per_task)).collect()
     return HotKeys({r["k"]: math.ceil(r["n"] / rows_per_task) for r in top
@@ -143,8 +151,8 @@ def enrich(base: DataFrame, dims: Iterable[Dim],
     A distinct flagged on join ``i`` equals a distinct of the base and of
     dims ``1..i`` before joining (see the module note), which is what runs.
 
-    ``skew``: ``"detect"`` finds the hot keys of the base exactly (one extra
-    aggregation over the key column, run at once) and spreads them; a
+    ``skew``: ``"detect"`` finds the hot keys of the base (one extra
+    aggregation over a part of the key column, run at once) and spreads them; a
     ``HotKeys`` value (or one per key column) spreads keys that are known;
     ``None`` spreads null keys only. The result is the same in all cases.
     ``counts``: a ``StageCounts`` that observes the rows after each join.
