@@ -327,7 +327,7 @@ def blocks(page: Page, chosen: list[bool]) -> list[str]:
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds and shape of the training: ``pages`` sampled by hash, of at most ``chars`` code points."""
+    """Bounds and shape of the training: about ``pages`` sampled by hash, of at most ``chars`` code points."""
 
     pages: int = 200
     chars: int = 60_000
@@ -433,9 +433,11 @@ def extract(pages: DataFrame, html_col: str = "html", how: Training = Training()
     an empty table gives no rows.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    n = pages.count()
+    chance = F.pmod(F.xxhash64("html", F.monotonically_increasing_id()), F.lit(1 << 30))
     short = pages.select(html.alias("html")).where((F.length("html") <= how.chars) & (F.col("html") != ""))
-    # the pages with the smallest hashes: each task keeps at most how.pages of them
-    sample = [r.html for r in short.orderBy(F.xxhash64("html")).limit(how.pages).collect()]
+    # about how.pages rows of the whole table, whatever its size: a hash decides for each row
+    sample = [r.html for r in (short.where(chance < int((1 << 30) * how.pages / n)) if n > how.pages else short).collect()]
     sent = pages.sparkSession.sparkContext.broadcast(fit(sample, how))      # trees x 2^depth numbers
 
     def run(column: pa.Array) -> list:
