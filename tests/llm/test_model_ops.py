@@ -295,3 +295,16 @@ def test_pages_language(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = {r.page_id: r.language for r in queries.language_id_pages(spark, str(tmp_path)).collect()}
     assert all(got[i] == ["en", "fr", "de"][i % 3] for i in range(120))
+
+
+def test_rare_language_is_modelled(spark):
+    # the sample holds about 100 of 6,003 labelled rows; the language of three is modelled all the same
+    rng = random.Random(21)
+    rows = [(i, speak(rng, lang := "fr" if i < 3 else ["en", "de"][i % 2], 40), lang, "mixed.org", 0) for i in range(6003)]
+    rows += [(7000 + i, "12 34", f"x{i}", "mixed.org", 0) for i in range(5)]      # nothing to model
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    how = language_id.Fusion(sample_rows=100, language_rows=20)
+    model = language_id.fit_text_model(df, F.col("text"), F.col("lang"), how.sample_rows, language_rows=how.language_rows)
+    assert model.languages == ["de", "en", "fr"]
+    got = {r.doc_id: r for r in language_id.identify(df, how=how).where("doc_id < 3").collect()}
+    assert all(r.language == "fr" and r.kept for r in got.values()) and len(got) == 3

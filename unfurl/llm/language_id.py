@@ -62,8 +62,10 @@ def trigrams(text: bytes) -> Iterator[np.ndarray]:
 class Fusion:
     """Parameters of the fusion.
 
-    ``sample_rows`` bounds the labelled rows the trigram models are fitted on (all else uses
-    every row). ``independent`` is the number of trigrams a text counts for at most, as
+    Trigram models are fitted on a sample of the labelled rows (all else uses every row): of a
+    language, ``sample_rows`` by its share of them, or ``language_rows`` if that is more, or all
+    it has; ``sample_rows + max_languages * language_rows`` in all at most, in expectation. Every
+    declared language is modelled; more than ``max_languages`` are an error. ``independent`` is the number of trigrams a text counts for at most, as
     neighbouring trigrams are not independent. ``pull`` is the weight, in documents, of the
     level above in the smoothing. Documents whose best posterior is below ``min_posterior``,
     or whose text has no letter, are rejected.
@@ -74,20 +76,34 @@ class Fusion:
     pull: float = 20.0
     min_posterior: float = 0.6
     max_languages: int = 256
+    language_rows: int = 200
+
+
+#: what trigrams() finds something in
+LETTER = r"[A-Za-z]|[^\x00-\x7F]"
 
 
 def fit_text_model(docs: DataFrame, text: Column, label: Column, sample_rows: int,
-                   max_languages: int = 256, alpha: float = 0.5) -> TextModel:
-    """Trigram models from about ``sample_rows`` labelled rows, chosen by hash.
+                   max_languages: int = 256, language_rows: int = 200, alpha: float = 0.5) -> TextModel:
+    """Trigram models of every language with a labelled row that has a letter.
 
-    Only counts reach the driver: at most languages x buckets rows.
+    Languages are counted over all rows; the rows of each that are fitted on are chosen by hash
+    (see ``Fusion``). Only counts reach the driver: at most languages x buckets rows.
     """
     rows = docs.select(text.cast("string").alias("text"), F.lower(label.cast("string")).alias("lang"))
-    rows = rows.where("lang is not null and lang <> '' and text is not null")
-    n = rows.select("lang").count()
+    rows = rows.where((F.col("lang") != "") & F.col("text").rlike(LETTER))
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(max_languages + 1).collect()}
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} declared languages; at most so many are modelled")
+    n = sum(sizes.values())
     if n > sample_rows:
         chance = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 30))
-        rows = rows.where(chance < int((1 << 30) * sample_rows / n))
+        limit = F.lit(1 << 30)      # of languages that stay whole
+        for lang, k in sizes.items():
+            share = max(sample_rows / n, language_rows / k)
+            if share < 1:
+                limit = F.when(F.col("lang") == lang, F.lit(int((1 << 30) * share))).otherwise(limit)
+        rows = rows.where(chance < limit)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -105,8 +121,6 @@ def fit_text_model(docs: DataFrame, text: Column, label: Column, sample_rows: in
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     got = counted.toPandas()
     languages = sorted(got["lang"].unique())
-    if len(languages) > max_languages:
-        raise ValueError(f"{len(languages)} declared languages; at most {max_languages} are modelled")
     table = np.full((1 << BUCKET_BITS, max(1, len(languages))), alpha)
     if languages:
         table[got["gram"].to_numpy(), np.searchsorted(languages, got["lang"])] += got["n"].to_numpy()
@@ -178,7 +192,7 @@ def identify(docs: DataFrame, text: Column | str = "text", declared: Column | st
     text, declared = col(text).cast("string"), col(declared)
     host = F.lower(F.coalesce(col(host).cast("string"), F.lit("")))
     spark = docs.sparkSession
-    model = fit_text_model(docs, text, declared, how.sample_rows, how.max_languages)
+    model = fit_text_model(docs, text, declared, how.sample_rows, how.max_languages, how.language_rows)
     n_lang = len(model.languages)
     if not n_lang:      # nothing to learn from
         none = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("language", "posterior", "text_language", "kept")],
