@@ -141,6 +141,39 @@ def test_decontaminate(spark, make, corpus, block):
     assert sorted((r.doc_id for r in clean.collect()), key=str) == sorted((w[0] for w in want if not w[5]), key=str)
 
 
+def test_decontaminate_holds_one_block(spark, make, monkeypatch):
+    # copies of one passage in many blocks: same findings as with one block, and no two blocks at once
+    from pyspark import Broadcast, SparkContext
+    rng = random.Random(12)
+    shared, other = prose(rng, 14), prose(rng, 30)
+    items = [(f"i{k}", f"{shared} {prose(rng, 3)}") for k in range(12)] + [("x", other), ("x", other)]
+    docs = make([(1, f"{prose(rng, 5)} {shared}"), (2, other), (3, prose(rng, 40)), (4, None), (1, f"{shared} {other}")])
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    columns = ["doc_id", "n_words", "n_hit", F.concat_ws(",", "items").alias("items"), "longest", "longest_item", "longest_start"]
+    want = sorted(decontaminate.match(docs, bench).select(*columns).collect(), key=str)
+    alive, most = set(), []
+    send, destroy = SparkContext.broadcast, Broadcast.destroy
+
+    def sending(self, value):
+        out = send(self, value)
+        alive.add(id(out))
+        most.append(len(alive))
+        return out
+
+    def destroying(self, *args, **kw):
+        alive.discard(id(self))
+        destroy(self, *args, **kw)
+
+    monkeypatch.setattr(SparkContext, "broadcast", sending)
+    monkeypatch.setattr(Broadcast, "destroy", destroying)
+    got = sorted(decontaminate.match(docs, bench, block_bytes=400).select(*columns).collect(), key=str)
+    assert got == want and len(most) > 2 and max(most) == 1 and not alive
+    n = len(decontaminate.words(shared.encode()))
+    assert {r.longest_item for r in got if r.longest == n} == {"i0"}
+    clean = decontaminate.match(docs, bench, block_bytes=400, clean_only=True)
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [3, 4]
+
+
 def test_packing(spark, make, corpus):
     docs = make(corpus)
     path = queries.tokenizer_path()

@@ -3,15 +3,18 @@
 Every Arrow batch of documents is cut into shards of bounded size; a shard's words get a
 suffix array (prefix doubling, as deep as the longest window), every window that starts a
 benchmark suffix is found in it by binary search, and runs of adjoining windows give the
-longest verbatim matches with their places. No shuffle: the documents stay where they are.
+longest verbatim matches with their places.
 
-The benchmark is the query set. It is taken in blocks of bounded bytes, one pass of the
-same scan over the documents for each; only one block's texts are in a task at a time.
+The benchmark is the query set. One block of bounded bytes is scanned for without a shuffle:
+the documents stay where they are. A larger benchmark is taken in such blocks, one pass of
+the same scan over the staged documents for each; only one block is in the driver and in a
+task at a time. The passes' findings are staged and merged by document.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from unfurl.session import shared_path
+
 from . import common
 
 WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
@@ -35,6 +40,12 @@ RESULT = T.StructType([
     T.StructField("items", T.ArrayType(T.StringType())),
     T.StructField("longest", T.LongType()), T.StructField("longest_item", T.StringType()),
     T.StructField("longest_start", T.LongType()), T.StructField("hits", T.BinaryType())])
+#: what a pass finds in a document, in the order of the tuples of scan()
+FOUND = T.StructType([
+    T.StructField("row", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("hits", T.BinaryType()),
+    T.StructField("items", T.ArrayType(T.StringType())), T.StructField("longest", T.LongType()),
+    T.StructField("longest_item", T.StringType()), T.StructField("longest_start", T.LongType()),
+    T.StructField("item_row", T.LongType())])
 
 
 def words(text: bytes) -> list[bytes]:
@@ -48,15 +59,16 @@ class Windows:
     parts: list[tuple[bytes, ...]]              # distinct windows
     held: list[list[tuple[int, int]]]           # of each: (item, word position)
     names: list[str]                            # item ids
+    rows: list[int]                             # the items' rows in the benchmark
 
     @classmethod
-    def of(cls, items: list[tuple[str, bytes]], size: int) -> Windows:
+    def of(cls, items: list[tuple[int, str, bytes]], size: int) -> Windows:
         found: dict[tuple[bytes, ...], list[tuple[int, int]]] = {}
-        for i, (_, text) in enumerate(items):
+        for i, (_, _, text) in enumerate(items):
             w = words(text)
             for p in range(max(1, len(w) - size + 1) if w else 0):
                 found.setdefault(tuple(w[p:p + size]), []).append((i, p))
-        return cls(list(found), list(found.values()), [name for name, _ in items])
+        return cls(list(found), list(found.values()), [name for _, name, _ in items], [row for row, _, _ in items])
 
 
 def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -120,7 +132,7 @@ def search(ids: np.ndarray, order: np.ndarray, asked: np.ndarray, length: np.nda
 
 
 def scan(texts: list[bytes], q: Windows, size: int) -> list[tuple]:
-    """Per text: words, hit words (bits), items, longest match (words, item, start)."""
+    """Per text: words, hit words (bits), items, longest match (words, item, start, item's row)."""
     number: dict[bytes, int] = {}
     flat, starts = [], [0]
     for t in texts:
@@ -128,7 +140,7 @@ def scan(texts: list[bytes], q: Windows, size: int) -> list[tuple]:
         flat.append(np.fromiter((number.setdefault(x, len(number) + 1) for x in w), np.int64, len(w)))
         starts.append(starts[-1] + len(w) + 1)
     counts = [len(f) for f in flat]
-    out = [(c, None, [], 0, None, None) for c in counts]
+    out = [(c, None, [], 0, None, None, None) for c in counts]
     known = [i for i, p in enumerate(q.parts) if all(x in number for x in p)]
     if not known:
         return out
@@ -168,7 +180,7 @@ def scan(texts: list[bytes], q: Windows, size: int) -> list[tuple]:
             if p + n - run[2] > best[0]:
                 best = (p + n - run[2], i, run[2])
         items = {q.names[i] for i, *_ in runs}
-        out[d] = (counts[d], zlib.compress(np.packbits(hit).tobytes()), sorted(items), best[0], q.names[best[1]], best[2])
+        out[d] = (counts[d], zlib.compress(np.packbits(hit).tobytes()), sorted(items), best[0], q.names[best[1]], best[2], q.rows[best[1]])
     return out
 
 
@@ -177,64 +189,122 @@ def _bits(hits: bytes | None, n: int) -> np.ndarray:
 
 
 def _merged(a: tuple, b: tuple) -> tuple:
-    """Two blocks' findings for one text."""
+    """Two blocks' findings for one text, in any order."""
     if a[1] is None or b[1] is None:
         return b if a[1] is None else a
     hit = _bits(a[1], a[0]) | _bits(b[1], a[0])
-    return (a[0], zlib.compress(np.packbits(hit).tobytes()), sorted({*a[2], *b[2]}), *(a[3:] if a[3] >= b[3] else b[3:]))
+    first = min(a, b, key=lambda f: (-f[3], f[6]))
+    return (a[0], zlib.compress(np.packbits(hit).tobytes()), sorted({*a[2], *b[2]}), *first[3:])
 
 
-def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[list[tuple[str, bytes]]]:
-    """The items in blocks of about ``block_bytes``; null ids are the empty string."""
-    b = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
-                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    total = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // block_bytes) or 1
-    if n == 1:
-        return [[(r.item, r.text.encode()) for r in b.collect()]]
-    b = common.stage(b.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))), "benchmark")
-    return [[(r.item, r.text.encode()) for r in b.where(F.col("block") == i).drop("block").collect()] for i in range(n)]
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each run of rows of one document."""
+    last = None
+    for b in batches:
+        done = []
+        for row, *found in zip(*[c.to_pylist() for c in b.columns]):
+            if last is not None and last[0] == row:
+                last = (row, *_merged(last[1:], tuple(found)))
+                continue
+            if last is not None:
+                done.append(last)
+            last = (row, *found)
+        yield _batch(done)
+    if last is not None:
+        yield _batch([last])
 
 
-def match(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str = "text",
-          item_col: str = "item_id", item_text_col: str = "text", shard_bytes: int = SHARD_BYTES,
-          block_bytes: int = BLOCK_BYTES, clean_only: bool = False) -> DataFrame:
-    """``docs`` with the columns of RESULT, or with ``clean_only`` its rows without a match.
+def _batch(found: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*found) if found else [()] * len(FOUND)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), common._arrow_type(f.dataType)) for c, f in zip(columns, FOUND)], FOUND.names)
+
+
+def _result(rows: list[tuple]) -> list[list]:
+    """The columns of RESULT."""
+    return [[r[0] for r in rows], [int(_bits(r[1], r[0]).sum()) for r in rows], [r[2] for r in rows],
+            [r[3] for r in rows], [r[4] for r in rows], [r[5] for r in rows], [r[1] for r in rows]]
 
-    Words are runs of digits, letters and non-ASCII characters after lower-casing A-Z. A
-    window is ``size`` consecutive words of an item, or all words of a shorter one. Null
-    texts have no words; items without words match nothing; rows sharing an item id are one
-    item in ``items``; repeated documents are judged one by one. ``longest`` and the columns
-    after it name the longest verbatim match: its words, its item, the word it starts at.
-    Ties go to the first item row, then the first place. Empty tables give empty or clean results.
-    """
-    sc = docs.sparkSession.sparkContext
-    blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
-    sent = [sc.broadcast(Windows.of(b, size)) for b in blocks]   # block_bytes bounds each
 
+def _finder(sent, size: int, shard_bytes: int):
+    """The scan for one broadcast block."""
     def find(texts: pa.Array) -> list[tuple]:
         raw, found = common.text_bytes(texts), []
         for lo, hi in common.slices(raw, shard_bytes):
-            part = None
-            for q in sent:
-                got = scan(raw[lo:hi], q.value, size)
-                part = got if part is None else [_merged(x, y) for x, y in zip(part, got)]
-            found += part
+            found += scan(raw[lo:hi], sent.value, size)
         return found
+    return find
+
+
+def _listed(items: DataFrame) -> list[tuple[int, str, bytes]]:
+    return [(r.row, r.item, r.text.encode()) for r in items.select("row", "item", "text").orderBy("row").collect()]
 
-    text = F.col(text_col).cast("string")
-    if clean_only:
-        flag = T.StructType([T.StructField("hit", T.BooleanType())])
-        return common.append_columns(docs, [text], lambda t: [[r[1] is not None for r in find(t)]], flag,
-                                     keep=lambda hit: pc.invert(hit))
 
-    def fill(t):
-        rows = find(t)
-        return [[r[0] for r in rows], [int(_bits(r[1], r[0]).sum()) for r in rows], [r[2] for r in rows],
-                [r[3] for r in rows], [r[4] for r in rows], [r[5] for r in rows], [r[1] for r in rows]]
+def _found_in_blocks(docs: DataFrame, items: DataFrame, n: int, size: int, shard_bytes: int, all_rows: bool) -> DataFrame:
+    """FOUND for each row of ``docs`` (row, text; staged) and block with a hit, and with ``all_rows``
+    at least one row for each document. Block after block: listed, broadcast, scanned for, dropped."""
+    spark = docs.sparkSession
+    # by row, so that copies of an item are dealt as well; sorted, so that a block is read from few files
+    items = common.stage(items.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n))).sort("block"), "benchmark")
+    path = shared_path(spark, "llm", "contaminated", unique=True)
+    for i in range(n):
+        sent = spark.sparkContext.broadcast(Windows.of(_listed(items.where(F.col("block") == i)), size))
+        find, every = _finder(sent, size, shard_bytes), all_rows and i == 0
 
-    return common.append_columns(docs, [text], fill, RESULT)
+        def run(batches: Iterator[pa.RecordBatch], find=find, every=every) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield _batch([(row, *f) for row, f in zip(b.column(0).to_pylist(), find(b.column(1))) if every or f[1] is not None])
 
+        docs.mapInArrow(run, FOUND).write.mode("append").parquet(path)
+        sent.destroy(blocking=True)
+    return spark.read.schema(FOUND).parquet(path)
+
+
+def match(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str = "text",
+          item_col: str = "item_id", item_text_col: str = "text", shard_bytes: int = SHARD_BYTES,
+          block_bytes: int = BLOCK_BYTES, clean_only: bool = False) -> DataFrame:
+    """``docs`` with the columns of RESULT, or with ``clean_only`` its rows without a match.
+
+    Words are runs of digits, letters and non-ASCII characters after lower-casing A-Z. A
+    window is ``size`` consecutive words of an item, or all words of a shorter one. Null
+    texts have no words, null item ids are the empty string; items without words match nothing;
+    rows sharing an item id are one item in ``items``; repeated documents are judged one by one.
+    ``longest`` and the columns after it name the longest verbatim match: its words, its item,
+    the word it starts at. Ties go to the first item row, then the first place. Empty tables
+    give empty or clean results.
+
+    A benchmark over ``block_bytes`` runs its passes here and stages ``docs`` once.
+    """
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
+                             F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"),
+                             F.monotonically_increasing_id().alias("row"))
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = -(-total // block_bytes) or 1
+    text = F.col(text_col).cast("string")
+    if n == 1:
+        find = _finder(docs.sparkSession.sparkContext.broadcast(Windows.of(_listed(items), size)), size, shard_bytes)
+        if clean_only:
+            flag = T.StructType([T.StructField("hit", T.BooleanType())])
+            return common.append_columns(docs, [text], lambda t: [[r[1] is not None for r in find(t)]], flag,
+                                         keep=lambda hit: pc.invert(hit))
+        return common.append_columns(docs, [text], lambda t: _result(find(t)), RESULT)
+
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = common.stage(docs.withColumn("_dc_row", F.monotonically_increasing_id()), "decontaminate")
+    found = _found_in_blocks(keyed.select("_dc_row", text.alias("text")), items, n, size, shard_bytes, not clean_only)
+    if clean_only:
+        hit = found.select(F.col("row").alias("_dc_row"))
+        return keyed.join(hit, "_dc_row", "left_anti").select(*own)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _merge(batches):
+            got = _result([f[1:] for f in zip(*[c.to_pylist() for c in b.columns])])
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(g, common._arrow_type(f.dataType)) for g, f in zip(got, RESULT)]],
+                                             merged.names)
+
+    merged = T.StructType([T.StructField("_dc_row", T.LongType()), *[T.StructField(f"_dc_{f.name}", f.dataType) for f in RESULT]])
+    # of one document: a row for each block it has a hit in
+    whole = common.stage(found.repartition("row").sortWithinPartitions("row").mapInArrow(fill, merged), "matches")
+    return keyed.join(whole, "_dc_row").select(*own, *[F.col(f"_dc_{f.name}").alias(f.name) for f in RESULT])
 
 
 def sql(size: int = 10) -> str:
