@@ -84,3 +84,23 @@ def test_hot_orders_keep_the_plan(spark, tmp_dir):
 def test_partitioned_write_is_rebalanced(spark):
     df = passthrough(spark.range(10).withColumn("day", F.lit("2024-01-01")), "day")
     assert "REBALANCE" in plan_text(df, "simple").upper()
+
+
+def test_stage_counts_keep_the_records_of_an_order(spark, monkeypatch):
+    # one order holds all items, dealt over four splits: no record may hold them all
+    from unfurl import catalog
+    t = D.tables(spark, SF)
+    items = D.order_items(t.lineitem.repartition(4, "l_linenumber", "l_partkey").withColumn("l_orderkey", F.lit(1)))
+    inputs = (items, *catalog._order_inputs(spark, SF)[1:])
+    seen = []
+
+    def enrich(records, *args, **kw):
+        seen.append(records)
+        return order_enrich(records, *args, **kw)
+
+    monkeypatch.setattr(catalog, "_order_inputs", lambda *_: inputs)
+    monkeypatch.setattr(catalog, "order_enrich", enrich)
+    got = {r.stage: r.row_count for r in catalog.q_stage_counts(spark, SF).collect()}
+    n = t.lineitem.count()
+    assert got["order_items"] == 1 and got["items"] == n
+    assert seen[0].agg(F.max(F.size("orderItems"))).first()[0] < n

@@ -880,14 +880,17 @@ UNION ALL SELECT 'enriched', ({SQL_ENRICHED_ROWS})
 """)
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows at the nine points of PL1 (every input, the exploded items, after
-    each join), filled during one action instead of a ``count()`` each."""
+    each join), filled during one action instead of a ``count()`` each.
+
+    An order may span several records, which stay as they are: orders are counted by a grouped
+    count of their own."""
     items, address, buyer, orders = _order_inputs(spark, sf_dir)
-    whole = items.groupBy("amazonOrderId").agg(F.flatten(F.collect_list("orderItems")).alias("orderItems"),
-                                               F.max("nextToken").alias("nextToken"))
     counts = StageCounts()
-    out = order_enrich(whole, address, buyer, orders, dedup="each", counts=counts)
+    out = order_enrich(items, address, buyer, orders, dedup="each", counts=counts)
     out.write.format("noop").mode("overwrite").save()
-    return spark.createDataFrame(list(counts.get().items()), "stage string, row_count bigint")
+    n_orders = items.agg(F.count_distinct("amazonOrderId")).first()[0]
+    rows = {**counts.get(), "order_items": n_orders}
+    return spark.createDataFrame(list(rows.items()), "stage string, row_count bigint")
 
 
 @register("log_rejects", """
