@@ -1,4 +1,4 @@
-"""Registered queries of the operators (op1 to op10, pipeline) and their DuckDB SQL."""
+"""Registered queries of the operators and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common, decontaminate, html_extract, language_id, line_dedup, lm_score, packing, quality_rules, secret_scan, simhash, url_filter
-from unfurl.session import ensure_checkpoint_dir
+from unfurl.session import ensure_checkpoint_dir, shared_path
+
+from . import (align, common, decontaminate, html_extract, importance, language_id, line_dedup, lm_score, packing, quality_rules,
+               secret_scan, simhash, url_filter, warc)
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of the production packing; any other path can be passed to the operator."""
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """The vocabulary files of the queries; any other path can be passed to the operators."""
     import public_tokenizers
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,9 +102,28 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "language", "posterior", "text_language", "kept")
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op2_url_filter": op2_url_filter, "op3_quality_rules": op3_quality_rules, "op10_language_id": op10_language_id, "language_id_pages": language_id_pages, "op4_decontaminate": op4_decontaminate, "op5_simhash": op5_simhash, "op6_pack": op6_pack,
-           "op7_html_extract": op7_html_extract, "op8_lm_score": op8_lm_score, "op9_line_dedup": op9_line_dedup}
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives and read back."""
+    path = warc.write_pages(common.table(spark, sf_dir, "pages"), shared_path(spark, "llm", "warc", unique=True))
+    return warc.read_pages(spark, path)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn towards the distribution of the benchmark."""
+    found = importance.importance_scores(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("doc").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of two tokenizers on documents."""
+    found = align.cross_align(common.table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(PIECES))
+    return found.withColumnRenamed("doc", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_url_filter, op3_quality_rules, op4_decontaminate, op5_simhash, op6_pack, op7_html_extract, op8_lm_score,
+    op9_line_dedup, op10_language_id, language_id_pages, op11_warc, op12_importance, op13_align)}
 #: the others use models, tokenizers, XXH64 or components, which SQL has not: see tests/llm
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": secret_scan.sql(), "op2_url_filter": url_filter.sql(), "op3_quality_rules": quality_rules.sql(),
-    "op4_decontaminate": decontaminate.sql(), "op9_line_dedup": line_dedup.sql()}
+    "op4_decontaminate": decontaminate.sql(), "op9_line_dedup": line_dedup.sql(), "op11_warc": warc.sql(), "op12_importance": importance.sql()}
