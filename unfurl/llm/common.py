@@ -12,14 +12,34 @@ from pyspark.sql import types as T
 from unfurl.session import shared_path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the cluster's shared folder and read it back.
 
     Cuts the lineage: what is read later does not depend on executors that may be lost.
     """
-    path = shared_path(df.sparkSession, "llm", name, unique=True)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_path(spark, "llm", name, unique=True)
+    # nothing reads this plan's shuffles after the write: their files go with it
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
+    """Send texts to Python in batches of 8 MB at most, where the session leaves Spark's default of 64:
+    a batch lies in the executor and in the worker, in several copies."""
+    if spark.conf.get(BATCH_BYTES).rstrip("b") == str(64 << 20):
+        spark.conf.set(BATCH_BYTES, f"{limit}b")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +76,7 @@ def append_columns(df: DataFrame, inputs: list, fn: Callable[..., list], out: T.
     its column names cannot clash with the new ones. With ``keep``, rows whose new
     values fail it are left out and only ``df``'s own columns come back.
     """
+    bound_batches(df.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
     n = len(inputs)
     packed = df.select(row, *[c.alias(f"in{i}") for i, c in enumerate(inputs)])

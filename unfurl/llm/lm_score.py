@@ -5,21 +5,25 @@ order is trusted depends on how often the context was seen: contexts fall into b
 the power of two of their count, and every bucket has mixture weights of its own, learned by
 expectation-maximisation on one training fold held out of the counts (the "deleted" part).
 
-The work is three grouped passes. Documents are dealt into chunks of a few megabytes; a chunk
-sends its distinct words and word pairs, as sorted 64-bit hashes with counts, to the tables
-that own ranges of the hash space; a table adds up the counts and answers every chunk in the
-chunk's own order. A word that is in every text is one key of each chunk, so none is hot.
-The EM pass and the scoring pass join the answers with the chunk's texts.
+One map pass deals documents into chunks of a few megabytes and writes each as one compressed
+row: its texts as numbers of the chunk's own words, and the words' hashes. A chunk sends its
+distinct words and word pairs, as sorted hashes with counts, to the tables that own ranges of
+the hash space; a table adds up the counts and answers every chunk in the chunk's own order.
+A word that is in every text is one key of each chunk, so none is hot, and equal rows lie in as
+many chunks as they fill. The EM pass and the scoring pass join the answers with the chunks;
+no text is shuffled.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,90 +63,137 @@ def unpack(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
 
 
+def number_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of the texts as numbers (END behind each), tokens of each text, hashes of the numbers."""
+    number: dict[bytes, int] = {}
+    tokens, sizes = [], np.empty(len(texts), np.int64)
+    for i, t in enumerate(texts):
+        w = t.lower().split()
+        tokens.append(np.fromiter((number.setdefault(x, len(number) + 1) for x in w), np.uint32, len(w)))
+        tokens.append(np.full(1, END, np.uint32))
+        sizes[i] = len(w) + 1
+    return np.concatenate(tokens), sizes, np.array([END, *[xxh64_intdigest(x) for x in number]], np.uint64)
+
+
 class Chunk:
-    """The tokens of a chunk's texts, its distinct words and pairs, and the order of their keys."""
-
-    def __init__(self, texts: list[bytes]):
-        number: dict[bytes, int] = {}
-        tokens, self.sizes = [], np.empty(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            w = t.lower().split()
-            tokens.append(np.fromiter((number.setdefault(x, len(number) + 1) for x in w), np.int64, len(w)))
-            tokens.append(np.zeros(1, np.int64))
-            self.sizes[i] = len(w) + 1
-        self.token = np.concatenate(tokens)
+    """The tokens of a chunk's texts, its distinct words and pairs, and the order of their keys.
+
+    Pair keys have 56 bits: among a hundred billion pairs that makes one in a million share a count.
+    """
+
+    def __init__(self, token: np.ndarray, sizes: np.ndarray, hashes: np.ndarray):
+        self.token, self.sizes = token.astype(np.int64), sizes
         self.before = np.concatenate([np.zeros(1, np.int64), self.token[:-1]])   # every text follows an end
-        hashes = np.array([END, *[xxh64_intdigest(x) for x in number]], np.uint64)
         pair, self.pair = np.unique(self.before * len(hashes) + self.token, return_inverse=True)
         first, second = hashes[pair // len(hashes)], hashes[pair % len(hashes)]
         with np.errstate(over="ignore"):
             mixed = (first * MIX[0] + (second ^ (second >> np.uint64(29)))) * MIX[1]
-        self.keys = [hashes, mixed ^ (mixed >> np.uint64(31))]
+        self.keys = [hashes, (mixed ^ (mixed >> np.uint64(31))) >> np.uint64(8)]
         self.order = [np.argsort(k, kind="stable") for k in self.keys]
 
+    @classmethod
+    def of(cls, row: dict) -> Chunk:
+        return cls(unpack(row["tokens"], np.uint32), unpack(row["sizes"], np.uint32).astype(np.int64), unpack(row["hashes"], np.uint64))
+
     def counts(self, weight: np.ndarray) -> list[np.ndarray]:
         """Occurrences of words and pairs in the texts of weight 1."""
         w = np.repeat(weight, self.sizes)
-        return [np.bincount(self.token, w, len(self.keys[0])).astype(np.int64),
-                np.bincount(self.pair, w, len(self.keys[1])).astype(np.int64)]
+        return [np.bincount(self.token, w, len(self.keys[0])).astype(np.uint64),
+                np.bincount(self.pair, w, len(self.keys[1])).astype(np.uint64)]
 
     def answered(self, answers: list[tuple[int, bytes]], tables: int) -> list[np.ndarray]:
         """Totals of words and pairs, from (table, packed totals) in key order."""
         out = []
         for kind in (0, 1):
-            got = [unpack(a, np.uint32) for t, a in sorted(answers) if t // tables == kind]
+            got = [unpack(a, np.uint64) for t, a in sorted(answers) if t // tables == kind]
             total = np.empty(len(self.keys[kind]), np.float64)
             total[self.order[kind]] = np.concatenate(got)
             out.append(total)
         return out
 
 
-def _table_of(keys: np.ndarray, tables: int) -> np.ndarray:
+CHUNK = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("em", T.BooleanType()), T.StructField("bytes", T.LongType()),
+                      T.StructField("tokens", T.BinaryType()), T.StructField("sizes", T.BinaryType()), T.StructField("hashes", T.BinaryType()),
+                      T.StructField("fold", T.ArrayType(T.IntegerType()))])
+
+
+def encode_chunks(src: DataFrame, how: Model) -> DataFrame:
+    """``src`` (doc, text, fold) as one staged row per chunk; documents of the EM fold have chunks of their own."""
+    schema = T.StructType([*CHUNK.fields, T.StructField("doc", T.ArrayType(src.schema["doc"].dataType))])
+    arrow = [pa.field(f.name, common._arrow_type(f.dataType)) for f in schema.fields]
+
+    def row(number: int, em: bool, docs: list, texts: list[bytes], folds: list[int]) -> pa.RecordBatch:
+        token, sizes, hashes = number_words(texts)
+        values = [number, em, sum(map(len, texts)), pack(token), pack(sizes.astype(np.uint32)), pack(hashes), folds, docs]
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], [f.name for f in arrow])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        held = {em: ([], [], []) for em in (False, True)}
+        size = {False: 0, True: 0}
+        for b in batches:
+            for doc, text, fold in zip(b.column(0).to_pylist(), common.text_bytes(b.column(1)), b.column(2).to_pylist()):
+                em = fold == how.em_fold
+                if held[em][0] and size[em] + len(text) > how.chunk_bytes:
+                    yield row(number, em, *held[em])
+                    number, held[em], size[em] = number + 1, ([], [], []), 0
+                for column, value in zip(held[em], (doc, text, fold)):
+                    column.append(value)
+                size[em] += len(text)
+        for em in (False, True):
+            if held[em][0]:
+                yield row(number, em, *held[em])
+                number += 1
+
+    return common.stage(src.mapInArrow(run, schema), "lm_chunks")
+
+
+def _table_of(keys: np.ndarray, bits: int, tables: int) -> np.ndarray:
     """The table that owns each of the sorted keys."""
-    return ((keys >> np.uint64(32)) * np.uint64(tables) >> np.uint64(32)).astype(np.int64)
+    return ((keys >> np.uint64(bits - 32)) * np.uint64(tables) >> np.uint64(32)).astype(np.int64)
 
 
 def _send(tables: int):
     """A chunk's keys and counts, one row per table."""
-    def run(key, texts):
-        chunk = Chunk(common.text_bytes(texts["text"].combine_chunks()))
-        train = np.array(texts["fold"].to_pylist()) != 0
-        rows = []
-        for kind, count in enumerate(chunk.counts(train.astype(float))):
-            order = chunk.order[kind]
-            keys, n = chunk.keys[kind][order], count[order]
-            owner = _table_of(keys, tables)
-            for t in np.unique(owner).tolist():
-                a, b = np.searchsorted(owner, t), np.searchsorted(owner, t, side="right")
-                gaps = np.concatenate([keys[a:a + 1], np.diff(keys[a:b])])
-                rows.append((key[0].as_py(), kind * tables + t, pack(gaps), pack(n[a:b])))
-        return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()), "owner": pa.array([r[1] for r in rows], pa.int32()),
-                         "keys": pa.array([r[2] for r in rows], pa.binary()), "n": pa.array([r[3] for r in rows], pa.binary())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                chunk, rows = Chunk.of(row), []
+                for kind, count in enumerate(chunk.counts((np.array(row["fold"]) != 0).astype(float))):
+                    order = chunk.order[kind]
+                    keys, n = chunk.keys[kind][order], count[order]
+                    owner = _table_of(keys, (64, 56)[kind], tables)
+                    for t in np.unique(owner).tolist():
+                        lo, hi = np.searchsorted(owner, t), np.searchsorted(owner, t, side="right")
+                        gaps = np.concatenate([keys[lo:lo + 1], np.diff(keys[lo:hi])])
+                        rows.append((kind * tables + t, pack(gaps), pack(n[lo:hi])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["chunk"]] * len(rows), pa.int64()), pa.array([row["em"]] * len(rows), pa.bool_()),
+                     pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]],
+                    ["chunk", "held", "owner", "keys", "n"])
     return run
 
 
-def _add_up(main_chunks: int):
+def _add_up(key, asked):
     """Totals of a table's keys, for each chunk that asked, in the order it asked."""
-    def run(key, asked):
-        chunks = asked["chunk"].to_pylist()
-        keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in asked["keys"].to_pylist()]
-        n = [unpack(x, np.uint32) for x in asked["n"].to_pylist()]
-        found, at = np.unique(np.concatenate(keys), return_inverse=True)
-        held = np.repeat([c >= main_chunks for c in chunks], [len(k) for k in keys])
-        each = np.concatenate(n)
-        em = np.bincount(at, each * held, len(found)).astype(np.int64)
-        kept = np.bincount(at, each * ~held, len(found)).astype(np.int64)
-        ends = np.cumsum([len(k) for k in keys])
-        mine = [at[e - len(k):e] for e, k in zip(ends, keys)]
-        big = np.iinfo(np.uint32).max
-        return pa.table({"chunk": pa.array(chunks, pa.int64()), "owner": asked["owner"],
-                         "kept": pa.array([pack(np.minimum(kept[m], big)) for m in mine], pa.binary()),
-                         "em": pa.array([pack(np.minimum(em[m], big)) for m in mine], pa.binary()),
-                         # of the whole table, told once
-                         "n_kept": pa.array([int(kept.sum())] + [0] * (len(chunks) - 1), pa.int64()),
-                         "n_em": pa.array([int(em.sum())] + [0] * (len(chunks) - 1), pa.int64()),
-                         "n_types": pa.array([int((kept + em > 0).sum())] + [0] * (len(chunks) - 1), pa.int64())})
-    return run
+    chunks, is_em = asked["chunk"].to_pylist(), asked["held"].to_pylist()
+    keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in asked["keys"].to_pylist()]
+    n = [unpack(x, np.uint64) for x in asked["n"].to_pylist()]
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    held = np.repeat(is_em, [len(k) for k in keys])
+    each = np.concatenate(n).astype(np.int64)
+    total = [np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)]
+    for which, side in zip((~held, held), total):       # whole numbers: exact however large
+        np.add.at(side, at[which], each[which])
+    kept, em = total
+    ends = np.cumsum([len(k) for k in keys])
+    mine = [at[e - len(k):e] for e, k in zip(ends, keys)]
+    once = [0] * (len(chunks) - 1)      # of the whole table, told once
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "held": pa.array(is_em, pa.bool_()), "owner": asked["owner"],
+                     "kept": pa.array([pack(kept[m].astype(np.uint64)) for m in mine], pa.binary()),
+                     "em": pa.array([pack(em[m].astype(np.uint64)) for m in mine], pa.binary()),
+                     "n_kept": pa.array([int(kept.sum()), *once], pa.int64()), "n_em": pa.array([int(em.sum()), *once], pa.int64()),
+                     "n_types": pa.array([int((kept + em > 0).sum()), *once], pa.int64())})
 
 
 def context_bucket(count: np.ndarray) -> np.ndarray:
@@ -190,25 +241,21 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     count as often as they occur and get equal scores. Without training documents all counts
     are 0 and the uniform estimate is left. An empty table gives no rows.
     """
+    common.bound_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     src = docs.select(F.col(id_col).alias("doc"), text.alias("text"),
                       F.pmod(F.crc32(ident), F.lit(how.folds)).cast("int").alias("fold"))
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    main = max(1, math.ceil(total / how.chunk_bytes))
-    em = max(1, math.ceil(main / (how.folds - 1)))
-    spread = F.xxhash64("doc", "text")
-    src = src.withColumn("chunk", F.when(F.col("fold") == how.em_fold, F.pmod(spread, F.lit(em)) + main)
-                         .otherwise(F.pmod(spread, F.lit(main))))
-    tables = max(1, math.ceil(main * how.chunk_bytes / 9 / how.table_keys))     # about one new pair in nine bytes
-    sent = src.groupBy("chunk").applyInArrow(_send(tables), "chunk long, owner int, keys binary, n binary")
+    chunks = encode_chunks(src, how)
+    size = chunks.agg(F.sum("bytes")).first()[0] or 0
+    tables = max(1, math.ceil(size / 9 / how.table_keys))     # about one new pair in nine bytes
+    sent = chunks.mapInArrow(_send(tables), "chunk long, held boolean, owner int, keys binary, n binary")
     answers = common.stage(sent.groupBy("owner").applyInArrow(
-        _add_up(main), "chunk long, owner int, kept binary, em binary, n_kept long, n_em long, n_types long"), "lm_totals")
+        _add_up, "chunk long, held boolean, owner int, kept binary, em binary, n_kept long, n_em long, n_types long"), "lm_totals")
     told = answers.where(F.col("owner") < tables).agg(F.sum("n_kept"), F.sum("n_em"), F.sum("n_types")).first()
     n_kept, n_em, types = (float(x or 0) for x in told)
 
-    fold = src.where(F.col("fold") == how.em_fold).groupBy("chunk").cogroup(
-        answers.where(F.col("chunk") >= main).select("chunk", "owner", "kept").groupBy("chunk"))
+    fold = chunks.where("em").groupBy("chunk").cogroup(answers.where("held").select("chunk", "owner", "kept").groupBy("chunk"))
     cells = (fold.applyInArrow(_cells(tables, n_kept, types, how.bins_per_decade),
                                "bucket int, b2 int, b1 int, l2 double, l1 double, n long")
              .groupBy("bucket", "b2", "b1").agg(F.sum("l2").alias("l2"), F.sum("l1").alias("l1"), F.sum("n").alias("n")))
@@ -217,41 +264,35 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     learnt = learn_weights([(r.bucket, 10 ** (r.l2 / r.n) if r.b2 >= 0 else 0.0, 10 ** (r.l1 / r.n) if r.b1 >= 0 else 0.0, uniform, r.n)
                             for r in cells.collect()], how.rounds)
 
-    scored = src.groupBy("chunk").cogroup(answers.select("chunk", "owner", "kept", "em").groupBy("chunk")).applyInArrow(
-        _score(tables, n_kept + n_em, types, learnt, how.alpha),
+    return chunks.groupBy("chunk").cogroup(answers.select("chunk", "owner", "kept", "em").groupBy("chunk")).applyInArrow(
+        _score(tables, n_kept + n_em, types, learnt, how.alpha, common._arrow_type(src.schema["doc"].dataType)),
         T.StructType([src.schema["doc"], *[T.StructField(k, from_arrow_type(t)) for k, t in OUT.items()]]))
-    return scored
 
 
 def _cells(tables: int, n: float, types: float, per_decade: int):
     """Held-out tokens by context bucket and the size of their estimates."""
-    def run(texts, answers):
-        cols = {k: [] for k in ("bucket", "b2", "b1", "l2", "l1", "n")}
-        if texts.num_rows and answers.num_rows:
-            chunk = Chunk(common.text_bytes(texts["text"].combine_chunks()))
-            word, pair = chunk.answered(list(zip(answers["owner"].to_pylist(), answers["kept"].to_pylist())), tables)
-            bucket, p = estimates(chunk, word, pair, n, types)
-            with np.errstate(divide="ignore"):
-                logs = np.log10(p[:2])
-            none = ~np.isfinite(logs)
-            logs[none] = 0.0
-            # bins count from the uniform estimate; no training count lies far below it
-            bins = np.where(none, -1, np.clip(np.floor((logs + 20) * per_decade), 0, 20 * per_decade)).astype(np.int64)
-            size = 20 * per_decade + 2
-            cell, at = np.unique((bucket * size + bins[0] + 1) * size + bins[1] + 1, return_inverse=True)
-            cols = {"bucket": cell // size // size, "b2": cell // size % size - 1, "b1": cell % size - 1,
-                    "l2": np.bincount(at, logs[0]), "l1": np.bincount(at, logs[1]), "n": np.bincount(at)}
-        types_ = {"bucket": pa.int32(), "b2": pa.int32(), "b1": pa.int32(), "l2": pa.float64(), "l1": pa.float64(), "n": pa.int64()}
-        return pa.table({k: pa.array(v, type=None).cast(types_[k]) if len(v) else pa.array([], types_[k]) for k, v in cols.items()})
+    def run(rows, answers):
+        chunk = Chunk.of(rows.to_pylist()[0])
+        word, pair = chunk.answered(list(zip(answers["owner"].to_pylist(), answers["kept"].to_pylist())), tables)
+        bucket, p = estimates(chunk, word, pair, n, types)
+        with np.errstate(divide="ignore"):
+            logs = np.log10(p[:2])
+        none = ~np.isfinite(logs)
+        logs[none] = 0.0
+        # bins count from the uniform estimate; no training count lies far below it
+        bins = np.where(none, -1, np.clip(np.floor((logs + 20) * per_decade), 0, 20 * per_decade)).astype(np.int64)
+        size = 20 * per_decade + 2
+        cell, at = np.unique((bucket * size + bins[0] + 1) * size + bins[1] + 1, return_inverse=True)
+        return pa.table({"bucket": pa.array(cell // size // size, pa.int32()), "b2": pa.array(cell // size % size - 1, pa.int32()),
+                         "b1": pa.array(cell % size - 1, pa.int32()), "l2": np.bincount(at, logs[0]), "l1": np.bincount(at, logs[1]),
+                         "n": np.bincount(at)})
     return run
 
 
-def _score(tables: int, n: float, types: float, weights: np.ndarray, alpha: float):
-    def run(texts, answers):
-        doc = texts["doc"]
-        if not texts.num_rows:
-            return pa.table({"doc": doc, **{k: pa.array([], t) for k, t in OUT.items()}})
-        chunk = Chunk(common.text_bytes(texts["text"].combine_chunks()))
+def _score(tables: int, n: float, types: float, weights: np.ndarray, alpha: float, doc: pa.DataType):
+    def run(rows, answers):
+        row = rows.to_pylist()[0]
+        chunk = Chunk.of(row)
         owner = answers["owner"].to_pylist()
         kept = chunk.answered(list(zip(owner, answers["kept"].to_pylist())), tables)
         em = chunk.answered(list(zip(owner, answers["em"].to_pylist())), tables)
@@ -260,11 +301,11 @@ def _score(tables: int, n: float, types: float, weights: np.ndarray, alpha: floa
         mixed = (weights[bucket].T * p).sum(axis=0)
         base = np.log10((word[chunk.token] + alpha) / (n + alpha * (types + 1.0)))
         starts = np.cumsum(chunk.sizes) - chunk.sizes
-        cols = {"held_out": np.array(texts["fold"].to_pylist()) == 0, "n_tokens": chunk.sizes,
+        cols = {"held_out": np.array(row["fold"]) == 0, "n_tokens": chunk.sizes,
                 "n_known": np.add.reduceat((word[chunk.token] > 0).astype(np.int64), starts),
                 "train_tokens": np.full(len(chunk.sizes), int(n), np.int64),
                 "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(np.log10(mixed), starts)}
-        return pa.table({"doc": doc, **{k: pa.array(v, OUT[k]) for k, v in cols.items()}})
+        return pa.table({"doc": pa.array(row["doc"], doc), **{k: pa.array(v, OUT[k]) for k, v in cols.items()}})
     return run
 
 
