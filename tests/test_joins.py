@@ -92,6 +92,68 @@ def test_hot_keys_are_found_by_part_of_the_rows(spark):
     assert hot.keys == ["hot"] and hot.buckets["hot"] == 2      # a third of the rows, over 4 partitions
 
 
+def test_detection_does_not_grow_with_the_partitions(spark):
+    """Every task sends one sketch, sketches merge on executors, only hot keys reach the driver."""
+    from pyspark.sql import functions as F
+    rows = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"))
+    few, many = rows.repartition(4), rows.repartition(300)
+    assert detect_hot_keys(few, "k", every=1).buckets == detect_hot_keys(many, "k", every=1).buckets == {"hot": 2}
+    seen = []
+    collect = type(rows).collect
+
+    def counting(self):
+        out = collect(self)
+        seen.append((len(out), plan_text(self, "simple")))
+        return out
+
+    type(rows).collect = counting
+    try:
+        detect_hot_keys(many, "k", every=1)
+    finally:
+        type(rows).collect = collect
+    assert [n for n, _ in seen] == [1]
+    assert "TakeOrderedAndProject" not in seen[0][1] and "approx_top_k_combine" in seen[0][1]
+
+
+def test_detection_takes_any_key_type(spark):
+    import datetime
+    for t in ("cast(id % 2 as int)", "cast(id % 2 as decimal(5,0))", "date_add(date'2024-01-01', cast(id % 2 as int))", "cast(cast(id % 2 as string) as binary)",
+              "id % 2 = 0", "cast(id % 2 as double)", "array(id % 2)"):
+        df = spark.range(9000).selectExpr(f"{t} k")
+        hot = detect_hot_keys(df, "k", every=1) if not t.startswith("array") else None
+        assert hot is None or sorted(hot.buckets.values()) == [2, 2], t
+    assert detect_hot_keys(spark.createDataFrame([(None,)] * 50, "k date"), "k", every=1).buckets == {}
+    assert detect_hot_keys(spark.createDataFrame([(datetime.date(2024, 1, 1),)], "k date").limit(0), "k").buckets == {}
+
+
+def test_laid_out_tables_join_in_place(spark):
+    """Bucketed inputs: no hash exchange for the three joins and their distincts."""
+    from unfurl.operators.layout import enrich_laid_out, lay_out
+    base = spark.range(400).selectExpr("cast(id % 97 as string) k", "id % 5 item").repartition(6)
+    d1 = spark.range(150).selectExpr("cast(id % 90 as string) k", "id % 2 city")
+    d2 = spark.range(120).selectExpr("cast(id as string) k", "'m' mail", "id extra")
+    dims = [Dim(d1, "k", None, True), Dim(d2, "k", ["mail"], True)]
+    out = enrich_laid_out(lay_out(base, dims, "t", buckets=4, hot=HotKeys()))
+    assert "Exchange" not in plan_text(out, "simple").replace("ReusedExchange", "")
+    assert bag(out) == bag(enrich(base, dims))
+    plain = [Dim(d1, "k"), Dim(d2, "k", ["mail"])]
+    assert bag(enrich_laid_out(lay_out(base, plain, "t", buckets=3, hot=HotKeys()))) == bag(enrich(base, plain))
+
+
+def test_hot_and_null_keys_stay_out_of_the_buckets(spark):
+    from unfurl.operators.layout import enrich_laid_out, lay_out
+    base = spark.range(9000).selectExpr("case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else cast(id as string) end k", "id % 50 v")
+    d1 = spark.range(4000).selectExpr("if(id < 3000, 'dim', cast(id as string)) k", "id % 4 city").union(
+        spark.createDataFrame([("hot", 1), ("hot", 2), (None, 3)], "k string, city long"))
+    d2 = spark.createDataFrame([("hot", "x"), ("dim", "y"), ("5", "z")], "k string, mail string")
+    layout = lay_out(base, [Dim(d1, "k"), Dim(d2, "k")], "skew", buckets=4)
+    assert {"hot", "dim"} <= set(layout.hot.keys)
+    assert layout.base.bucketed.where("k = 'hot' or k is null").count() == 0 and layout.dims[0].bucketed.where("k = 'dim'").count() == 0
+    assert bag(enrich_laid_out(layout)) == bag(enrich(base, [Dim(d1, "k"), Dim(d2, "k")]))
+    flagged = [Dim(d1, "k", None, True), Dim(d2, "k", None, True)]
+    assert bag(enrich_laid_out(lay_out(base, flagged, "skew", buckets=4))) == bag(enrich(base, flagged))
+
+
 def largest_bucket(df, key, hot):
     n = salt_big_side(df, key, hot).groupBy(key, SALT).count().agg({"count": "max"}).first()[0]
     return n / df.count()

@@ -202,3 +202,85 @@ def test_preview_and_schema_text(spark):
     df = spark.range(50)
     assert preview(df, 10).count() == 10
     assert "id: long" in schema_text(df)
+
+
+# -- record paths and schemas without one given -------------------------------------------------
+
+def write_files(folder, texts):
+    os.makedirs(folder, exist_ok=True)
+    for name, text in texts.items():
+        with open(f"{folder}/{name}.json", "w") as f:
+            f.write(text)
+    return folder
+
+
+def plain_path(doc, path):
+    """Values that a record path meets, by plain recursion."""
+    import re
+    steps = re.findall(r"\[\*\]|\[\d+\]|\.[^.\[\]]+|\['[^']+'\]", path[1:])
+    now = [doc]
+    for s in steps:
+        out = []
+        for v in now:
+            if s == "[*]":
+                out += v if isinstance(v, list) else [v[k] for k in sorted(v)] if isinstance(v, dict) else []
+            elif s[1:-1].isdigit():
+                out += [v[int(s[1:-1])]] if isinstance(v, list) and int(s[1:-1]) < len(v) else []
+            else:
+                k = s[2:-2] if s[0] == "[" else s[1:]
+                out += [v[k]] if isinstance(v, dict) and k in v else []
+        now = out
+    return now
+
+
+def test_record_paths_without_schema(spark, tmp_dir):
+    docs = {"nested": [[{"a": 1, "b.c": {"d": [1, 2]}}, {"a": "x"}, {}], [{"z": None}], []], "flat": [1, "t", None], "object": {"k": [{"v": 1}], "j": 2},
+            "empty": [], "text": "just text", "deep": [[[[5]]]], "null": None}
+    path = write_files(f"{tmp_dir}/p", {k: json.dumps(v) for k, v in docs.items()})
+    for p in ("$[0][*]", "$[1][*]", "$[*][*]", "$", "$[*]", "$[0][*]['b.c'].d[*]", "$.k[*].v", "$[7][*]", "$[0][0][0][0]"):
+        got = [r[0] for r in SRC.read_json_path(spark, path, p).selectExpr("to_json(record)").collect()]
+        want = [v for d in docs.values() for v in plain_path(d, p)]
+        assert sorted(json.dumps(json.loads(g), sort_keys=True) if g is not None else "null" for g in got) == \
+            sorted(json.dumps(v, sort_keys=True) for v in want), p
+    for p in ("[0]", "$[x]", "$..a", "a.b"):
+        with pytest.raises(ValueError, match="not a record path"):
+            SRC.read_json_path(spark, path, p)
+
+
+def test_record_path_counts_bad_files(spark, tmp_dir):
+    from unfurl.operators.metrics import StageCounts
+    path = write_files(f"{tmp_dir}/b", {"good": '[[{"a": 1}]]', "bad": "[[{", "other": "{}"})
+    counts = StageCounts()
+    assert SRC.read_json_path(spark, path, counts=counts).count() == 1 and counts.get() == {"bad_documents": 1}
+    with pytest.raises(Exception, match="does not parse"):
+        SRC.read_json_path(spark, path, on_bad="fail").collect()
+
+
+RECORDS = [{"n": 1, "s": "a", "f": 1.5, "b": True, "o": {"x": 1, "l": [1, 2]}}, {"n": 2, "s": None, "o": {"y": "t"}, "e": []},
+           {"f": 2, "big": 12345678901, "l": [{"m": 1}, {"k": "v"}]}, {"l": [], "o": None}]
+
+
+@pytest.mark.parametrize("layout", ["array", "lines", "objects"])
+def test_one_pass_schema_equals_inference(spark, tmp_dir, layout):
+    if layout == "lines":
+        path = write_files(f"{tmp_dir}/l", {str(i): "\n".join(json.dumps(r) for r in RECORDS[i::2]) for i in range(2)})
+    elif layout == "array":
+        path = write_files(f"{tmp_dir}/a", {str(i): json.dumps(RECORDS[i::2]) for i in range(2)})
+    else:
+        path = write_files(f"{tmp_dir}/o", {str(i): json.dumps(r) for i, r in enumerate(RECORDS)})
+    want = spark.read.option("multiLine", str(layout != "lines").lower()).json(path).schema
+    schema, files = SRC.infer_schema(spark, path, lines=layout == "lines")
+    assert schema.simpleString() == want.simpleString() and SRC.conflicts(schema) == []
+    assert files.count() == (4 if layout == "objects" else 2) and {r.bad for r in files.collect()} == {0}
+
+
+def test_one_pass_schema_reports_conflicts_and_bad_files(spark, tmp_dir):
+    path = write_files(f"{tmp_dir}/c", {"a": '[{"x": 1, "o": {"p": [1]}}, {"x": 2.5}]', "b": '{"x": "text", "o": {"p": ["t"]}}', "bad": "{", "none": "[]"})
+    schema, files = SRC.infer_schema(spark, path)
+    assert SRC.conflicts(schema) == ["$.o.p[*]", "$.x"]
+    assert {os.path.basename(r.file): r.bad for r in files.collect()} == {"a.json": 0, "b.json": 0, "bad.json": 1, "none.json": 0}
+    plan = plan_text(SRC.document_schemas(spark, path), "simple")
+    assert plan.count("FileScan") == 1 and plan.count("ObjectHashAggregate") + plan.count("SortAggregate") + plan.count("HashAggregate") >= 2
+    assert SRC.infer_schema(spark, write_files(f"{tmp_dir}/n", {"bad": "{"}))[0].fields == []
+    df = SRC.read_json_document(spark, path)        # what disagrees is still there to read
+    assert df.count() == 4

@@ -544,8 +544,13 @@ from .schemas import (ORDER_ADDRESS_SCHEMA, ORDER_BUYER_SCHEMA,  # noqa: E402
                       ORDER_ITEMS_SCHEMA, ORDERS_SCHEMA)
 from .session import shared_path  # noqa: E402
 from .sinks import write_json, write_parquet, write_text  # noqa: E402
+from .sinks.partitions import commits, list_files, replace_partitions  # noqa: E402
+from .sources import arrivals as SRC_A  # noqa: E402
 from .sources import files as SRC  # noqa: E402
-from .streaming.incremental import file_stream, run_incremental  # noqa: E402
+from .sources.arrivals import ArrivalLedger  # noqa: E402
+from .streaming.incremental import file_stream, run_batches, run_incremental  # noqa: E402
+from .streaming.orders import OrderTable, run_orders  # noqa: E402
+from .streaming.state import DistinctSink, SumsSink  # noqa: E402
 
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
@@ -583,6 +588,25 @@ def q_read_nested_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.read_json_nested(spark, path, CUSTOMER_SCHEMA, recursive=True)
 
 
+@register("read_nested_variant", SQL_CUSTOMER)
+def q_read_nested_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 without a schema: the same documents walked as variants by ``$[0][*]``, leaves by path."""
+    path = D.stage_json_nested(D.tables(spark, sf_dir).customer, _stage(spark, "cust_nested_v"))
+    rows = SRC.read_json_path(spark, path, "$[0][*]", recursive=True)
+    return rows.select(*[F.variant_get("record", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+                         for f in CUSTOMER_SCHEMA.fields])
+
+
+@register("read_array_one_pass", SQL_CUSTOMER)
+def q_read_array_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 in one pass: the schema is merged over variants, one row per file, and then used to read."""
+    path = D.stage_json_array(D.tables(spark, sf_dir).customer, _stage(spark, "cust_one_pass"))
+    schema, _ = SRC.infer_schema(spark, path, recursive=True)
+    df = SRC.read_json_array(spark, path, schema, recursive=True)
+    return df.select("c_custkey", "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"),
+                     "c_acctbal", "c_mktsegment")
+
+
 @register("read_document", SQL_CUSTOMER)
 def q_read_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: record path ``$`` - one row per document (the whole array), then
@@ -859,16 +883,159 @@ def q_incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(job(items).schema).parquet(sink)
 
 
+def _mod(c: str, n: int):
+    return F.pmod(F.xxhash64(c), F.lit(n))
+
+
+@register("incremental_late_dimensions", ORACLE_SQL["order_enrich"])
+def q_incremental_late_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + PL1: all four inputs arrive in drops, dimensions partly after the items they belong to,
+    some records twice. Orders that a late record touches are joined anew and their partitions
+    rewritten, so that the table equals the batch job."""
+    items, address, buyer, orders = _order_inputs(spark, sf_dir)
+    k = "amazonOrderId"
+    drops = [    # a part of each input per drop: first items alone, then what belongs to them
+        {"items": items.where(_mod(k, 3) < 2), "address": address.where(_mod(k, 3) == 1)},
+        {"address": address.where(_mod(k, 3) == 0), "buyer": buyer.where(_mod(k, 5) < 4), "orders": orders.where(_mod(k, 2) == 0)},
+        {"items": items.where(_mod(k, 3) > 0), "address": address.where(_mod(k, 3) == 2), "buyer": buyer, "orders": orders},
+    ]
+    schemas = {"items": items.schema, "address": address.schema, "buyer": buyer.schema, "orders": orders.schema}
+    src = {n: _stage(spark, f"late_{n}") for n in schemas}
+
+    def job(*inputs: DataFrame, **kwargs) -> DataFrame:     # by month here: few folders for few rows
+        return order_enrich(*inputs, **kwargs).withColumn("order_month", F.substring("order_date", 1, 7))
+
+    table = OrderTable(spark, _stage(spark, "late_table"), schemas, job, partition="order_month")
+    for i, drop in enumerate(drops):
+        for n, schema in schemas.items():
+            drop.get(n, spark.createDataFrame([], schema)).write.json(f"{src[n]}/drop={i}")
+        run_orders(table, {n: file_stream(spark, f"{src[n]}/*", schema) for n, schema in schemas.items()},
+                   f"{table.root}/checkpoint")
+    return table.read().drop("order_month")
+
+
+@register("incremental_distinct", "SELECT DISTINCT * FROM (" + SQL_LOG_OUTPUT + ") x")
+def q_incremental_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + G1: a drop delivered twice, and one that repeats rows of an earlier one; every row is
+    written once, by a ledger of row digests."""
+    lines = D.log_lines(D.tables(spark, sf_dir).events)
+    src = _stage(spark, "distinct_src")
+    schema = log_etl(lines.select("value")).schema
+    sink = DistinctSink(spark, _stage(spark, "distinct_sink"), _stage(spark, "distinct_ledger"), schema)
+    half = F.col("day") < CUT
+    drops = [lines.where(half), lines.where(half), lines.where(~half).unionByName(lines.where(half & (_mod("value", 4) == 0)))]
+    for i, drop in enumerate(drops):
+        drop.select("value").write.text(f"{src}/drop={i}")
+        run_batches(log_etl(file_stream(spark, f"{src}/*", "value string", fmt="text")), sink, f"{sink.sink}.checkpoint")
+        if i == 1:
+            sink.compact(i)
+    return sink.read(spark).select(*[C.col(c) for c in schema.names])
+
+
+@register("incremental_sums", ORACLE_SQL["sales_by_sku"])
+def q_incremental_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + H1: sums per SKU over three drops; the second batch is handed over twice, as after a
+    crash between its writes and its commit."""
+    sales = D.sales(D.tables(spark, sf_dir).lineitem)
+    src = _stage(spark, "sums_src")
+    sums = SumsSink(spark, _stage(spark, "sums"), sales, compact_every=2)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        sums(batch, batch_id)
+        if batch_id == 1:
+            sums(batch, batch_id)
+
+    for i in range(3):
+        sales.where(F.pmod(F.xxhash64("sku", "qty", "price"), F.lit(3)) == i).write.parquet(f"{src}/drop={i}")
+        run_batches(file_stream(spark, f"{src}/*", sales.schema, fmt="parquet"), handle, f"{src}.checkpoint")
+    return sums.read()
+
+
+RERUN = "2024-01-10"
+
+
+def _rerun_day(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The log job's output by day, in which one day was first written short and then re-run."""
+    out = log_etl(D.log_lines(D.tables(spark, sf_dir).events)).withColumn("day", F.substring("log_date", 1, 10))
+    path = _stage(spark, "rerun")
+    short = out.where((F.col("day") != RERUN) | (_mod("request_id", 2) == 0))
+    replace_partitions(short, path, partition_by=["day"], run="all")
+    again = out.where(F.col("day") == RERUN)
+    replace_partitions(again, path, partition_by=["day"], run="again")
+    replace_partitions(again.limit(0), path, partition_by=["day"], run="again")     # committed before: nothing is done
+    return out, path
+
+
+@register("rerun_partition", SQL_LOG_OUTPUT)
+def q_rerun_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1/B2 + A10: a day is re-run and replaces its own folder only; the table as it is then."""
+    out, path = _rerun_day(spark, sf_dir)
+    return spark.read.schema(out.schema).parquet(path).select(*[C.col(c) for c in out.columns if c != "day"])
+
+
+@register("rerun_commits", f"""
+WITH r AS (SELECT substr(log_date, 1, 10) AS day FROM ({SQL_LOG_OUTPUT}) x)
+SELECT CASE WHEN day = '{RERUN}' THEN 'again' ELSE 'all' END AS run, 'day=' || day AS partition, COUNT(*) AS row_count
+FROM r GROUP BY 1, 2
+""")
+def q_rerun_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 + A10: rows of every partition as the commit records of the two runs state them, but for
+    the files that the re-run replaced."""
+    _, path = _rerun_day(spark, sf_dir)
+    record = commits(spark, path).where("file IS NOT NULL").withColumn("name", F.substring_index("file", "/", -2))
+    there = list_files(spark, path, "*.parquet").select(F.substring_index("path", "/", -2).alias("name"))
+    return (record.join(there, "name", "left_semi").groupBy("run", "partition")
+            .agg(F.sum("rows").alias("row_count")))
+
+
+# -- arrivals ----------------------------------------------------------------------------------------
+
+ABSENT, CHANGED = "2024-01-09", "2024-01-12"
+
+
+@register("arrival_days", f"""
+SELECT d.day, d.day = DATE '{CHANGED}' AND n IS NOT NULL AS changed, n IS NULL AS missing
+FROM (SELECT CAST(unnest(generate_series(DATE '{DAYS[0]}', DATE '{DAYS[1]}', INTERVAL 1 DAY)) AS DATE) AS day) d
+LEFT JOIN (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events WHERE CAST(ts AS DATE) <> DATE '{ABSENT}' GROUP BY 1) e
+ON e.day = d.day
+""")
+def q_arrival_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 + A10: daily folders of which one never comes and one is replaced after it was seen; a
+    ledger of files reports both."""
+    recs = D.log_records(D.tables(spark, sf_dir).events).where(F.col("day") != ABSENT)
+    root = D.stage_json_lines(recs, _stage(spark, "arrivals"), partition_by=["day"])
+    ledger = ArrivalLedger(spark, _stage(spark, "arrival_ledger"), root)
+    ledger.record(1)
+    day = recs.where(F.col("day") == CHANGED).withColumn("message", F.concat("message", F.lit(" (corrected)")))
+    day.drop("day").write.mode("overwrite").json(f"{root}/day={CHANGED}")
+    found = ledger.record(2)
+    # a replaced folder has files of other names: the old ones are gone, the new ones new
+    again = found.where("status <> 'new'").select("day").distinct().withColumn("again", F.lit(True))
+    days = ledger.days(*DAYS)
+    return days.join(F.broadcast(again), "day", "left").select(
+        "day", F.coalesce("again", F.lit(False)).alias("changed"), "missing")
+
+
+@register("read_present_days", SQL_LOG_OUTPUT + f" AND {SQL_DAYS} AND CAST(ts AS DATE) <> DATE '{ABSENT}'")
+def q_read_present_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of days of which one is missing, read in one scan over those that exist."""
+    recs = D.log_records(D.tables(spark, sf_dir).events).where(F.col("day") != ABSENT)
+    path = D.stage_json_lines(recs, _stage(spark, "present"), partition_by=["day"])
+    df, missing = SRC_A.read_present_days(spark, path + "/day={}", *DAYS, reader=SRC.read_json_lines, schema=LOG_LINE_SCHEMA)
+    return log_records_etl(df)
+
+
 # -- observed counts ---------------------------------------------------------------------
 
-from .operators.metrics import StageCounts  # noqa: E402
+from .operators.metrics import CommittedCounts, StageCounts  # noqa: E402
 
 
 SQL_ENRICHED_ROWS = "SELECT COUNT(*) FROM (SELECT DISTINCT * FROM (" + SQL_ORDER_ROWS + ") x) y"
 
 
-@register("stage_counts", f"""
-SELECT 'order_items' AS stage, COUNT(DISTINCT l_orderkey) AS row_count FROM lineitem
+SQL_STAGE_COUNTS = f"""
+SELECT 'order_items' AS stage, COUNT(*) AS row_count
+FROM (SELECT DISTINCT l_orderkey, (l_linenumber - 1) // {D.PAGE_ITEMS} FROM lineitem) r
 UNION ALL SELECT 'items', COUNT(*) FROM lineitem
 UNION ALL SELECT 'address', COUNT(*) FROM orders
 UNION ALL SELECT 'join_1', ({SQL_ENRICHED_ROWS})
@@ -877,20 +1044,26 @@ UNION ALL SELECT 'join_2', ({SQL_ENRICHED_ROWS})
 UNION ALL SELECT 'orders', COUNT(*) FROM orders
 UNION ALL SELECT 'join_3', ({SQL_ENRICHED_ROWS})
 UNION ALL SELECT 'enriched', ({SQL_ENRICHED_ROWS})
-""")
+"""
+
+
+def _stage_counts(spark: SparkSession, sf_dir: str, counts: StageCounts) -> DataFrame:
+    out = order_enrich(*_order_inputs(spark, sf_dir), dedup="each", counts=counts)
+    out.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(counts.get().items()), "stage string, row_count bigint")
+
+
+@register("stage_counts", SQL_STAGE_COUNTS)
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows at the nine points of PL1 (every input, the exploded items, after
-    each join), filled during one action instead of a ``count()`` each.
+    each join), observed during one action instead of a ``count()`` each."""
+    return _stage_counts(spark, sf_dir, StageCounts())
 
-    An order may span several records, which stay as they are: orders are counted by a grouped
-    count of their own."""
-    items, address, buyer, orders = _order_inputs(spark, sf_dir)
-    counts = StageCounts()
-    out = order_enrich(items, address, buyer, orders, dedup="each", counts=counts)
-    out.write.format("noop").mode("overwrite").save()
-    n_orders = items.agg(F.count_distinct("amazonOrderId")).first()[0]
-    rows = {**counts.get(), "order_items": n_orders}
-    return spark.createDataFrame(list(rows.items()), "stage string, row_count bigint")
+
+@register("stage_counts_committed", SQL_STAGE_COUNTS)
+def q_stage_counts_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same nine numbers from the footers of committed files, which no repeated task changes."""
+    return _stage_counts(spark, sf_dir, CommittedCounts(spark))
 
 
 @register("log_rejects", """
@@ -939,3 +1112,17 @@ def q_left_join_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = t.orders.select(F.col("o_orderkey").alias("k"), "o_orderstatus", "o_totalprice")
     return enrich(base, [Dim(orders.hint("merge"), "k")], skew="detect").select(
         "l_orderkey", "l_linenumber", "k", "o_orderstatus", "o_totalprice")
+
+
+# -- bucketed layout --------------------------------------------------------------------------
+
+from .operators.layout import enrich_laid_out, lay_out  # noqa: E402
+from .plans.orders import finish_orders, order_dims  # noqa: E402
+
+
+@register("order_enrich_bucketed", ORACLE_SQL["order_enrich"])
+def q_order_enrich_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + PL1 on tables bucketed by the order once: joins and distincts move nothing."""
+    items, address, buyer, orders = _order_inputs(spark, sf_dir)
+    layout = lay_out(flatten_items(items), order_dims(address, buyer, orders, "purchaseDate", "each"), "orders", buckets=8)
+    return finish_orders(enrich_laid_out(layout), "purchaseDate", True)

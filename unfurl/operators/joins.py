@@ -24,13 +24,15 @@ import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .columns import q
 
 SALT = "_unfurl_salt"
+#: keys that a frequent-items sketch holds at most; so many partitions and a quarter can be told apart
+SKETCH_ITEMS = 1 << 17
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -59,34 +61,45 @@ def _parallelism(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: key types that the frequent-items sketch takes
+_SKETCHED = (T.StringType, T.IntegralType, T.FractionalType, T.DateType, T.TimestampType, T.BooleanType)
+
+
 def detect_hot_keys(df: DataFrame, key: str, rows_per_task: int | None = None,
-                    every: int = 16) -> HotKeys:
-    """Find the keys whose rows would overflow one task, all of them.
-
-    One job: a grouped count (partial counts map-side) whose total is observed
-    on the way. It counts one row in ``every``; a key with more than a task's
-    share of a large table has many thousands of rows, so that is close, and it
-    only decides how rows are dealt, never the result. A key is hot when it
-    holds more than ``rows_per_task`` rows, by default the average rows per
-    shuffle partition; no more keys than there are partitions (or
-    ``total / rows_per_task``) can be, so that many rows reach the driver at
-    most. Null keys need no finding: see ``enrich``.
+                    every: int = 16, groups: int = 64) -> HotKeys:
+    """Find the keys whose rows would overflow one task.
+
+    One job over one row in ``every``: each task fills a frequent-items sketch of bounded size,
+    the sketches are merged in ``groups`` groups and then in one, and only keys over the limit
+    leave the executors, so neither the driver's nor a merging task's load grows with the
+    number of tasks. A key is hot when it holds more than ``rows_per_task`` rows, by default
+    the average rows per shuffle partition. The sketch keeps four times as many keys as could
+    be hot, so a hot key is never missed and its count is off by a quarter of a task's share at
+    most. That only decides how rows are dealt, never the result. Null keys need no finding:
+    see ``enrich``. Keys of types without a sketch (binary) are counted exactly, with the limit
+    applied before they leave the executors.
     """
-    seen = Observation()
     rows = df.select(F.col(q(key)).alias("k"))
     if every > 1:
         rows = rows.where(F.pmod(F.monotonically_increasing_id(), F.lit(every)) == 0)
-    counts = (rows.groupBy("k").agg((F.count(F.lit(1)) * every).alias("n"))
-              .observe(seen, F.sum("n").alias("rows")).where(F.col("k").isNotNull()))
-    if rows_per_task is None:
-        parts = _parallelism(df)
-        top = counts.orderBy(F.col("n").desc()).limit(parts).collect()
-        # a task's share of a tiny table is no load worth dealing anew
-        rows_per_task = max(1000, (seen.get["rows"] or 0) // parts)
+    rows = rows.where(F.col("k").isNotNull())
+    # a task's share of a tiny table is no load worth dealing anew
+    parts = _parallelism(df)
+    limit = (F.greatest(F.lit(1000), F.floor(F.col("total") / parts)) if rows_per_task is None else F.lit(rows_per_task))
+    if isinstance(df.schema[key].dataType, _SKETCHED):
+        wide = SKETCH_ITEMS if rows_per_task is not None else min(SKETCH_ITEMS, max(1024, 4 * parts))
+        some = (rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("g"))
+                .agg(F.expr(f"approx_top_k_accumulate(k, {wide})").alias("s"), F.count(F.lit(1)).alias("n")))
+        # grouped, so that no rows give no sketch instead of an empty one
+        one = some.groupBy(F.pmod("g", F.lit(1))).agg(F.expr(f"approx_top_k_combine(s, {wide})").alias("s"),
+                                                      (F.sum("n") * every).alias("total"))
+        found = one.select("total", F.explode(F.expr(f"approx_top_k_estimate(s, {wide // 4})")).alias("e"))
+        counts = found.select("total", F.col("e.item").alias("k"), (F.col("e.count") * every).alias("n"))
     else:
-        top = counts.where(F.col("n") > F.lit(rows_per_task)).collect()
-    return HotKeys({r["k"]: math.ceil(r["n"] / rows_per_task) for r in top
-                    if r["n"] > rows_per_task})
+        n = rows.groupBy("k").agg((F.count(F.lit(1)) * every).alias("n"))
+        counts = n.crossJoin(F.broadcast(rows.agg((F.count(F.lit(1)) * every).alias("total"))))     # one row
+    hot = counts.withColumn("share", limit).where("n > share").select("k", F.ceil(F.col("n") / F.col("share")).alias("buckets"))
+    return HotKeys({r["k"]: int(r["buckets"]) for r in hot.collect()})
 
 
 def _buckets(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:

@@ -4,7 +4,7 @@ The jobs this library replaces read nested order JSON and operation logs. The
 driver tables are flat Parquet, so these functions re-shape them - still as
 distributed DataFrame plans whose work grows with the tables:
 
-* ``lineitem``  -> ``order_items`` (items nested per order and input split)
+* ``lineitem``  -> ``order_items`` (items nested per order and page of a few items)
 * ``orders``, ``customer``, ``nation`` -> address, buyer and order dimensions
 * ``events``    -> operation-log records, log text lines, search hits
 * ``lineitem``  -> ``sales(sku, qty, price)``
@@ -52,12 +52,14 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 # -- orders domain -------------------------------------------------------------
 
 
+PAGE_ITEMS = 4
+
+
 def order_items(lineitem: DataFrame) -> DataFrame:
     """Nested order items: ``amazonOrderId, nextToken, orderItems[]``.
 
-    Items are grouped per order *and input split*: like a paginated feed, one
-    order may span several records, and no record grows beyond the rows of
-    one split, however many items a single order has.
+    Like a paginated feed, an order's items come in pages by item number: one order may span any
+    number of records, and a record holds few items however many its order has.
     """
     item = F.struct(
         F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber")).alias("orderItemId"),
@@ -65,8 +67,8 @@ def order_items(lineitem: DataFrame) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("quantityOrdered"),
         F.struct(_s("l_extendedprice").alias("amount")).alias("itemPrice"),
     )
-    flat = lineitem.select(_s("l_orderkey").alias("amazonOrderId"), item.alias("item"),
-                           F.spark_partition_id().alias("page"))
+    page = F.floor((F.col("l_linenumber") - 1) / PAGE_ITEMS)
+    flat = lineitem.select(_s("l_orderkey").alias("amazonOrderId"), item.alias("item"), page.alias("page"))
     return (flat.groupBy("amazonOrderId", "page")
             .agg(F.collect_list("item").alias("orderItems"))
             .select("amazonOrderId", F.lit(None).cast("string").alias("nextToken"),

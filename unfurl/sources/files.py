@@ -24,12 +24,16 @@ limited to 2 GB per file); JSON lines and text lines split freely.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_path
+
 Paths = str | Sequence[str]
 Schema = T.StructType | str | None
 
@@ -107,6 +111,127 @@ def read_json_nested(spark: SparkSession, paths: Paths, schema: T.StructType | s
     return docs.select(F.inline(F.get(F.col("d"), index)))
 
 
+_STEP = re.compile(r"\[\*\]|\[\d+\]|\.[^.\[\]]+|\['[^']+'\]")
+
+
+def read_json_path(spark: SparkSession, paths: Paths, path: str = "$[0][*]", *, recursive: bool = False,
+                   counts=None, on_bad: str = "keep") -> DataFrame:
+    """A2 without a schema: one variant ``record`` per value that a record path meets in each file.
+
+    The path is ``$`` and steps ``[n]``, ``.name``, ``['name']`` and ``[*]`` (every element of an
+    array, every value of an object). No field is dropped or renamed; leaves come out with
+    ``variant_get``. A file where the path leads nowhere gives no rows; one that does not parse
+    counts as ``bad_documents`` or fails, as ``on_bad`` says.
+    """
+    steps = _STEP.findall(path[1:])
+    if path[:1] != "$" or "".join(steps) != path[1:]:
+        raise ValueError(f"not a record path: {path!r}")
+    docs = _whole_texts(spark, paths, recursive).select(F.try_parse_json("value").alias("record"))
+    docs = _rejects(docs, F.col("record").isNull(), counts, "bad_documents", on_bad)
+    walked = "$"
+    for step in [*steps, None]:
+        if step not in ("[*]", None):
+            walked += step
+            continue
+        if walked != "$":       # plain steps go in one walk
+            docs = docs.select(F.try_variant_get("record", walked, "variant").alias("record")).where("record IS NOT NULL")
+            walked = "$"
+        if step == "[*]":
+            many = F.schema_of_variant("record")
+            docs = docs.where(many.startswith("ARRAY") | many.startswith("OBJECT"))
+            docs = docs.lateralJoin(spark.tvf.variant_explode(F.col("record").outer())).select(F.col("value").alias("record"))
+    return docs
+
+
+# -- schemas from the data ------------------------------------------------------------------------
+
+def document_schemas(spark: SparkSession, paths: Paths, *, lines: bool = False, recursive: bool = False) -> DataFrame:
+    """A11 by file: file, records, bad and the merged schema of its records, in one scan.
+
+    A record is an element of a root array, a root object, or with ``lines`` a line. Schemas merge
+    pairwise inside the aggregation (map-side first), so a file's records never meet in one place;
+    a field whose records disagree is a VARIANT in it, a field that is always null is VOID. Object
+    fields come in the order of their names.
+    """
+    if lines:
+        text = spark.read.options(**({"recursiveFileLookup": "true"} if recursive else {})).text(_paths(paths))
+    else:
+        text = _whole_texts(spark, paths, recursive)
+    docs = text.select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("d"))
+    # a root array merges its elements itself: its schema is ARRAY<element>
+    by_file = docs.groupBy("file").agg(
+        F.count("d").alias("documents"), F.count_if(F.col("d").isNull()).alias("bad"), F.schema_of_variant_agg("d").alias("schema"))
+    inner = F.regexp_extract("schema", r"^ARRAY<(.*)>$", 1)
+    return by_file.withColumn("schema", F.when(F.col("schema").startswith("ARRAY<"), inner).otherwise(F.col("schema")))
+
+
+def _as_type(text: str) -> T.DataType:
+    """A variant schema text as a Spark type, with the number types that JSON inference gives: whole
+    numbers are bigint or wide decimals, others double. VOID (always null) stays for merging."""
+    ddl = re.sub(r"\bOBJECT\s*<", "STRUCT<", text)
+    ddl = re.sub(r"\bOBJECT\b", "STRUCT<>", ddl)
+    ddl = re.sub(r"\bDECIMAL\(\d+,\s*[1-9]\d*\)", "DOUBLE", ddl)
+    return T._parse_datatype_string(ddl)
+
+
+def _settled(t: T.DataType) -> T.DataType:
+    """What is always null is text, as JSON inference has it."""
+    if isinstance(t, T.NullType):
+        return T.StringType()
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_settled(t.elementType))
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _settled(f.dataType)) for f in t.fields])
+    return t
+
+
+def conflicts(schema: T.DataType, at: str = "$") -> list[str]:
+    """Paths where records disagree on the type."""
+    if isinstance(schema, T.VariantType):
+        return [at]
+    if isinstance(schema, T.ArrayType):
+        return conflicts(schema.elementType, f"{at}[*]")
+    if isinstance(schema, T.StructType):
+        return [c for f in schema.fields for c in conflicts(f.dataType, f"{at}.{f.name}")]
+    return []
+
+
+def infer_schema(spark: SparkSession, paths: Paths, *, lines: bool = False, recursive: bool = False) -> tuple[T.StructType, DataFrame]:
+    """A11 in one pass: the schema of all records, and ``document_schemas`` staged for a look at it.
+
+    The files are read and parsed once; the merge over files works on their schema texts, one
+    short row each, written to the shared folder.
+    """
+    path = shared_path(spark, "schemas", unique=True)
+    document_schemas(spark, paths, lines=lines, recursive=recursive).write.parquet(path)
+    found = spark.read.parquet(path)
+    # one short text for each shape that files have
+    texts = [r["schema"] for r in found.where("schema <> 'VOID'").select("schema").distinct().collect()]
+    merged = _settled(reduce(merge_types, [_as_type(t) for t in texts], T.NullType()))
+    return (merged if isinstance(merged, T.StructType) else T.StructType([])), found
+
+
+def merge_types(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds both: fields by name, numbers widened, a VARIANT where they disagree."""
+    if isinstance(a, T.NullType) or a == b:
+        return b
+    if isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        both = {f.name: f.dataType for f in a.fields}
+        for f in b.fields:
+            both[f.name] = merge_types(both.get(f.name, T.NullType()), f.dataType)
+        return T.StructType([T.StructField(n, t) for n, t in sorted(both.items())])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(merge_types(a.elementType, b.elementType))
+    whole = (T.LongType, T.DecimalType)
+    if isinstance(a, (*whole, T.DoubleType)) and isinstance(b, (*whole, T.DoubleType)):
+        if isinstance(a, whole) and isinstance(b, whole):
+            return T.DecimalType(max(t.precision if isinstance(t, T.DecimalType) else 20 for t in (a, b)), 0)
+        return T.DoubleType()
+    return T.VariantType()
+
+
 def read_json_document(spark: SparkSession, paths: Paths, schema: Schema = None, *,
                        recursive: bool = False, counts=None, on_bad: str = "keep") -> DataFrame:
     """A3 (record path ``$``): one row per file, whatever its root is.
