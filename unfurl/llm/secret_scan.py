@@ -27,11 +27,14 @@ HEX = r"[0-9a-f]{24,}"
 #: fixed values: the encodings' alphabets
 ALPHABETS = {
     "hex": "0123456789abcdef",
-    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base32": "abcdefghijklmnopqrstuvwxyz234567",
+    "base36": "abcdefghijklmnopqrstuvwxyz0123456789",
     "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
+#: encodings written in letters of one case, either one: tested in lower case
+ONE_CASE = ("hex", "base32", "base36")
 BINS = 120
 #: degrees of freedom with the skewness that the symbols' statistic has over these alphabets and lengths
 SKEW_DF = 12.5
@@ -84,12 +87,13 @@ def _placed(found: DataFrame, how: Battery) -> DataFrame:
 def encoding(token: Column) -> Column:
     """The smallest standard encoding that holds a token (padding cut off); null if none does.
 
-    Digits alone are a number, and letters of one case are tested as base62, which they do
-    not fill.
+    Digits alone are a number; letters of one case with digits are hex, base32 or base36;
+    letters of one case alone are tested as base62, which they do not fill.
     """
     return (F.when(token.rlike("^[0-9]*$"), F.lit(None).cast("string"))
             .when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$") & token.rlike("[0-9]"), "hex")
-            .when(token.rlike("^[A-Z2-7]+$") & token.rlike("[2-7]"), "base32")
+            .when(token.rlike("^([A-Z2-7]+|[a-z2-7]+)$") & token.rlike("[2-7]"), "base32")
+            .when(token.rlike("^([A-Z0-9]+|[a-z0-9]+)$") & token.rlike("[0-9]"), "base36")
             .when(token.rlike("^[A-Za-z0-9]+$"), "base62")
             .when(token.rlike("^[A-Za-z0-9+/]+$"), "base64")
             .when(token.rlike("^[A-Za-z0-9_-]+$"), "base64url"))
@@ -108,7 +112,7 @@ def tested(tokens: DataFrame, how: Battery) -> DataFrame:
     for name, a in ALPHABETS.items():
         alphabet = F.when(F.col("enc") == name, F.lit(a)) if alphabet is None else alphabet.when(F.col("enc") == name, F.lit(a))
         size = F.when(F.col("enc") == name, F.lit(float(len(a)))) if size is None else size.when(F.col("enc") == name, F.lit(float(len(a))))
-    same = F.when(F.col("enc") == "hex", F.lower("token")).otherwise(F.col("token"))
+    same = F.when(F.col("enc").isin(*ONE_CASE), F.lower("token")).otherwise(F.col("token"))
     t = t.withColumns({"k": size, "alphabet": alphabet, "len": F.length("token")})
     t = t.withColumn("x", F.transform(F.split(same, ""), lambda c: (F.position(c, F.col("alphabet")) - 1).cast("double")))
     t = t.withColumn("sorted", F.sort_array("x"))
@@ -133,9 +137,10 @@ def tested(tokens: DataFrame, how: Battery) -> DataFrame:
     chi = (F.pow(y, F.lit(1 / 3)) - (1 - 2 / (9 * SKEW_DF))) / math.sqrt(2 / (9 * SKEW_DF))
     e1, e2 = n * 26.0 / k, n * (k - 52.0) / k
     three = F.exp(-((up - e1) * (up - e1) / e1 + (low - e1) * (low - e1) / e1 + (n - up - low - e2) * (n - up - low - e2) / e2) / 2.0)
-    part = F.when(k == 16.0, 6.0 / 16.0).otherwise(26.0 / 32.0)
+    letters = F.least(F.lit(26.0), k - 10.0)        # hex has six, base32 twenty-six of 32
+    part = F.when(k == 32.0, 26.0 / 32.0).otherwise(letters / k)
     two = 2.0 * _tail(F.abs(up + low - n * part) / F.sqrt(n * part * (1.0 - part)))
-    least = F.least(_tail(F.greatest(F.lit(-8.0), chi)), F.when(k > 32.0, three).otherwise(two), 2.0 * _tail(F.abs(run)), 2.0 * _tail(F.abs(ser)))
+    least = F.least(_tail(F.greatest(F.lit(-8.0), chi)), F.when(k > 36.0, three).otherwise(two), 2.0 * _tail(F.abs(run)), 2.0 * _tail(F.abs(ser)))
     minus_log_p = -F.log(F.greatest(F.lit(1e-12), least) * 4.0)
     return t.withColumns({"bin": F.least(F.lit(BINS), F.floor(F.round(F.greatest(zero, minus_log_p), 6) * 4.0)).cast("int"),
                           "class": F.floor(F.log2(n)).cast("int"), "strong": n * F.log2(k) >= how.min_bits}) \
@@ -211,12 +216,13 @@ t AS (SELECT row_number() OVER () AS id, doc_id, start, stop, regexp_replace(val
       WHERE kind = 3 AND NOT EXISTS (SELECT 1 FROM p b WHERE b.doc_id = c.doc_id AND b.kind < 3 AND b.start < c.stop AND b.stop > c.start)),
 c AS (SELECT *, CASE WHEN regexp_matches(token, '^[0-9]*$') THEN NULL
                      WHEN regexp_matches(token, '^([0-9a-f]+|[0-9A-F]+)$') AND regexp_matches(token, '[0-9]') THEN 'hex'
-                     WHEN regexp_matches(token, '^[A-Z2-7]+$') AND regexp_matches(token, '[2-7]') THEN 'base32'
+                     WHEN regexp_matches(token, '^([A-Z2-7]+|[a-z2-7]+)$') AND regexp_matches(token, '[2-7]') THEN 'base32'
+                     WHEN regexp_matches(token, '^([A-Z0-9]+|[a-z0-9]+)$') AND regexp_matches(token, '[0-9]') THEN 'base36'
                      WHEN regexp_matches(token, '^[A-Za-z0-9]+$') THEN 'base62'
                      WHEN regexp_matches(token, '^[A-Za-z0-9+/]+$') THEN 'base64'
                      WHEN regexp_matches(token, '^[A-Za-z0-9_-]+$') THEN 'base64url' END AS enc FROM t),
 a AS (SELECT *, CASE enc {alphabet} END AS alphabet, length(token)::DOUBLE AS n FROM c WHERE enc IS NOT NULL),
-x AS (SELECT id, i, strpos(alphabet, substr(CASE WHEN enc = 'hex' THEN lower(token) ELSE token END, i::INT, 1)) - 1.0 AS x, length(alphabet)::DOUBLE AS k
+x AS (SELECT id, i, strpos(alphabet, substr(CASE WHEN enc IN {ONE_CASE} THEN lower(token) ELSE token END, i::INT, 1)) - 1.0 AS x, length(alphabet)::DOUBLE AS k
       FROM (SELECT *, unnest(range(1, length(token) + 1)) AS i FROM a)),
 sq AS (SELECT id, sum(o * o)::DOUBLE AS squares FROM (SELECT id, x, count(*) AS o FROM x GROUP BY id, x) GROUP BY id),
 nb AS (SELECT id, k, x, lag(x) OVER (PARTITION BY id ORDER BY i) AS y FROM x),
@@ -227,11 +233,11 @@ z AS (SELECT a.*, k, (k / n * squares - n - (k - 1)) / sqrt(2 * (k - 1) * (n - 1
       FROM a JOIN sq USING (id) JOIN st USING (id)),
 g AS (SELECT *, (pow(greatest(0.0, 1.0 + z1 * {math.sqrt(2 / SKEW_DF)}), {1 / 3}) - {1 - 2 / (9 * SKEW_DF)}) / {math.sqrt(2 / (9 * SKEW_DF))} AS z0,
              n - length(regexp_replace(same, '[A-Z]', '', 'g')) AS up, n - length(regexp_replace(same, '[a-z]', '', 'g')) AS low,
-             n * 26 / k AS e1, n * (k - 52) / k AS e2, CASE k WHEN 16 THEN 6.0 / 16.0 ELSE 26.0 / 32.0 END AS part
-      FROM (SELECT *, CASE WHEN enc = 'hex' THEN lower(token) ELSE token END AS same FROM z)),
+             n * 26 / k AS e1, n * (k - 52) / k AS e2, CASE k WHEN 32 THEN 26.0 / 32.0 ELSE least(26.0, k - 10) / k END AS part
+      FROM (SELECT *, CASE WHEN enc IN {ONE_CASE} THEN lower(token) ELSE token END AS same FROM z)),
 f AS (SELECT *, abs(up + low - n * part) / sqrt(n * part * (1 - part)) AS z4,
              exp(-((up - e1) * (up - e1) / e1 + (low - e1) * (low - e1) / e1 + (n - up - low - e2) * (n - up - low - e2) / e2) / 2) AS p3 FROM g),
-v AS (SELECT *, -ln(greatest(1e-12, least({tail.format(z="greatest(-8.0, z0)")}, CASE WHEN k > 32 THEN p3 ELSE 2 * {tail.format(z="z4")} END,
+v AS (SELECT *, -ln(greatest(1e-12, least({tail.format(z="greatest(-8.0, z0)")}, CASE WHEN k > 36 THEN p3 ELSE 2 * {tail.format(z="z4")} END,
                                           2 * {tail.format(z="z2")}, 2 * {tail.format(z="z3")})) * 4) AS v FROM f),
 b AS (SELECT *, least({BINS}, floor(round(greatest(0, v), 6) * 4)) AS bin, floor(log2(n)) AS class FROM v),
 h AS (SELECT enc, class, bin, count(*) AS c FROM b GROUP BY ALL),
