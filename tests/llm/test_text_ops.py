@@ -240,16 +240,39 @@ def test_quality_base(spark, make, corpus):
     assert sorted((tuple(r)[:7] for r in got), key=str) == sorted(brute.quality(corpus), key=str)
 
 
+def plain_kept(rows, max_docs=20, left=0.3):
+    """The method by itself: lines in texts of a host, words lost, depleted documents."""
+    held = {}
+    lines = lambda t: [" ".join(x.lower().split()) for x in t.split("\n") if x.split()]
+    for _, t, h in rows:
+        for k in set(lines(t)):
+            held.setdefault((h, k), set()).add(t)
+    out = {}
+    for d, t, h in rows:
+        own = lines(t)
+        n = sum(len(k.split()) for k in own)
+        lost = sum(len(k.split()) for k in own if len(held[h, k]) > max_docs)
+        out[d] = (lost, not n - lost < left * n)
+    return out
+
+
 def test_quality_depleted(spark):
+    """Repeated passages: documents that are little else go, whatever the size of the host; others stay."""
     rng = random.Random(6)
-    common_line = prose(rng, 40)
-    rows = [(i, f"{common_line}\n{' '.join(f'own{i}x{k}' for k in range(12 if i % 2 else 60))}", "en", "h" if i < 60 else f"s{i}", 0) for i in range(100)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    lim = quality_rules.Limits(min_docs=20, share=0.05, left=0.5)
-    got = {r.doc: r for r in quality_rules.quality_rules(df, lim=lim).collect()}
-    for i, r in got.items():
-        assert not r.base_failed and r.n_frequent_words == (40 if i < 60 else 0)
-        assert r.kept == (i >= 60 or i % 2 == 0)
+    notice, passage, licence = prose(rng, 40), prose(rng, 55), prose(rng, 12)
+    own = lambda i, n: " ".join(f"own{i}x{k}" for k in range(n))
+    rows = [(i, f"{notice.upper()}\n {passage}\n{own(i, 5)}", "small") for i in range(22)]                # depleted, a host of few
+    rows += [(100 + i, f"{own(i, 80)}\n{licence}", "large") for i in range(1500)]                         # clean: one short line in all
+    rows += [(2000 + i, f"{notice}\n{passage}\n{own(i, 6)}", "large") for i in range(30)]                 # depleted, 2 % of the host
+    rows += [(3000 + i, f"{passage}\n{own(i, 90)}", "large") for i in range(30)]                           # the passage in a longer text
+    rows += [(4000 + i, f"{own(0, 60)}\n{own(1, 60)}", "copies") for i in range(50)]                       # fifty copies of one text
+    rows += [(5000 + i, f"{notice}\n{passage}", f"host{i}") for i in range(40)]                            # one a host
+    rows += [(6000 + i, f"{notice}\n{passage} {own(i, 3)}", "twenty") for i in range(20)]                  # at the limit, not above it
+    df = spark.createDataFrame([(i, t, "en", h, 0) for i, t, h in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc: r for r in quality_rules.quality_rules(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {d: (r.n_frequent_words, r.kept) for d, r in got.items()} == plain_kept(rows)
+    assert {d for d, r in got.items() if not r.kept} == {*range(22), *range(2000, 2030)}
 
 
 def test_empty_tables(spark, make):

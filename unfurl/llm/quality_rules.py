@@ -23,14 +23,13 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 @dataclass(frozen=True)
 class Limits:
-    """A line is frequent in a host if it is in more than ``min_docs`` documents and more than
-    ``share`` of the host's documents. A document is depleted if fewer than ``left`` of its
-    words stay when its frequent lines go."""
+    """A line is frequent in a host if more than ``max_docs`` documents of different text hold it,
+    however many documents the host has: copies of one document make no line frequent. A document
+    is depleted if fewer than ``left`` of its words stay when its frequent lines go."""
 
     min_words: int = 50
     repeat_percent: int = 50
-    min_docs: int = 20
-    share: float = 0.05
+    max_docs: int = 20
     left: float = 0.3
 
 
@@ -49,18 +48,18 @@ def _lines(text: Column) -> Column:
 
 
 def base_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """rid, doc, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lines."""
+    """rid, doc, host, who (hash of the text), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lines."""
     d = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc"),
                     F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # one projection per step: what a step uses twice is computed once
     d = d.withColumn("words", _words(F.col("text")))
     with_word = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    d = d.select("rid", "doc", "host", "text", with_word.alias("full"), F.size("words").alias("nw"),
+    d = d.select("rid", "doc", "host", F.xxhash64("text").alias("who"), "text", with_word.alias("full"), F.size("words").alias("nw"),
                  F.length(F.array_join("words", "")).alias("chars"), F.transform("words", lambda w: F.xxhash64(w)).alias("hw"))
     index = F.when(F.col("nw") >= 3, F.sequence(F.lit(0), F.col("nw") - 3)).otherwise(F.array().cast("array<int>"))
     hw = F.col("hw")
-    d = d.select("rid", "doc", "host", "nw", "chars", (F.size("full") - F.size(F.array_distinct("full"))).alias("dup"),
+    d = d.select("rid", "doc", "host", "who", "nw", "chars", (F.size("full") - F.size(F.array_distinct("full"))).alias("dup"),
                  F.regexp_count("text", F.lit(SYMBOLS)).alias("symbols"), _lines(F.col("text")).alias("lines"),
                  F.transform(index, lambda i: F.xxhash64(hw[i], hw[i + 1], hw[i + 2])).alias("h"),
                  # bits that hold every position; the mask keeps the others for the hash
@@ -74,11 +73,11 @@ def base_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
     twin = F.filter(F.transform(s, lambda x, i: F.when(
         ((i > 0) & (whole(i) == whole(i - 1))) | ((i < F.size(s) - 1) & (whole(i) == whole(i + 1))),
         x.bitwiseAND(mask).cast("int")).otherwise(F.lit(-1))), lambda p: p >= 0)
-    d = d.select("rid", "doc", "host", "nw", "chars", "dup", "symbols", "lines", F.sort_array(twin).alias("at"))
+    d = d.select("rid", "doc", "host", "who", "nw", "chars", "dup", "symbols", "lines", F.sort_array(twin).alias("at"))
     at = F.col("at")
     gaps = F.transform(at, lambda p, i: F.when(i < F.size(at) - 1, F.least(F.lit(3), at[i + 1] - p)).otherwise(F.lit(3)))
     repeated = F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x)
-    return d.select("rid", "doc", "host", F.col("nw").cast("long").alias("n_words"), F.col("chars").cast("long").alias("word_chars"),
+    return d.select("rid", "doc", "host", "who", F.col("nw").cast("long").alias("n_words"), F.col("chars").cast("long").alias("word_chars"),
                     F.col("symbols").cast("long").alias("n_symbols"), F.col("dup").cast("long").alias("n_dup_lines"),
                     repeated.alias("n_repeat_words"), "lines")
 
@@ -88,16 +87,13 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """doc, the base counts, base_failed, n_frequent_words, kept: one row per row of ``docs``.
 
     A null or empty text has no words and fails the base rules. Null hosts are one host. Rows
-    with one id are one document when documents are counted; rows without an id are one too.
+    with one text are one document when documents are counted, whatever their ids.
     """
     base = common.stage(base_counts(docs, id_col, text_col, host_col), "quality")
-    who = F.coalesce(F.col("doc").cast("string"), F.lit("-"))
-    seen = base.select("host", who.alias("who"), F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    # written tables have a size Spark knows: it broadcasts them only if they are small
-    sizes = common.stage(base.groupBy("host").agg(F.count_distinct(who).alias("docs")), "hosts")
-    counts = seen.groupBy("host", "h").agg(F.count_distinct("who").alias("n")).where(F.col("n") > lim.min_docs)
-    common_lines = common.stage(counts.join(sizes, "host").where(F.col("n") > F.lit(lim.share) * F.col("docs"))
-                                .select("host", "h"), "frequent")
+    seen = base.select("host", "who", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    counts = seen.groupBy("host", "h").agg(F.count_distinct("who").alias("n")).where(F.col("n") > lim.max_docs)
+    # a written table has a size Spark knows: it broadcasts it only if it is small
+    common_lines = common.stage(counts.select("host", "h"), "frequent")
     own = base.select("rid", "host", F.explode("lines").alias("x")).select("rid", "host", F.col("x.h").alias("h"), F.col("x.n").alias("n"))
     lost = own.join(common_lines, ["host", "h"]).groupBy("rid").agg(F.sum("n").cast("long").alias("n_frequent_words"))
     out = base.drop("lines").join(lost, "rid", "left").withColumn("n_frequent_words", F.coalesce("n_frequent_words", F.lit(0).cast("long")))
@@ -118,12 +114,10 @@ wins AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
 twice AS (SELECT doc_id, i FROM wins QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
 rep AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM twice, (VALUES (0), (1), (2)) AS t(o) GROUP BY doc_id),
-ln AS (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d),
-wl AS (SELECT doc_id, host, line, trim(regexp_replace(lower(line), '{ws}', ' ', 'g'), ' ') AS k FROM ln WHERE trim(line, {blanks}) <> ''),
+ln AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
+wl AS (SELECT doc_id, host, text, line, trim(regexp_replace(lower(line), '{ws}', ' ', 'g'), ' ') AS k FROM ln WHERE trim(line, {blanks}) <> ''),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM wl GROUP BY doc_id),
-hosts AS (SELECT host, count(*) AS docs FROM d GROUP BY host),
-freq AS (SELECT host, k FROM wl JOIN hosts USING (host) GROUP BY host, k, docs
-         HAVING count(DISTINCT doc_id) > {lim.min_docs} AND count(DISTINCT doc_id) > {lim.share} * docs),
+freq AS (SELECT host, k FROM wl GROUP BY host, k HAVING count(DISTINCT text) > {lim.max_docs}),
 lost AS (SELECT doc_id, sum(len(string_split(k, ' '))) AS n FROM wl JOIN freq USING (host, k) GROUP BY doc_id),
 c AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
              len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
