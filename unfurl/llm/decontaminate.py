@@ -1,9 +1,11 @@
 """Benchmark decontamination with suffix arrays over the training texts.
 
-Every Arrow batch of documents is cut into shards of bounded size; a shard's words get a
-suffix array (prefix doubling, as deep as the longest window), every window that starts a
-benchmark suffix is found in it by binary search, and runs of adjoining windows give the
-longest verbatim matches with their places.
+Every Arrow batch of documents is cut into shards of bounded size. The windows that start the
+benchmark's suffixes lie in a sorted array of 64-bit hashes; a shard probes it once with the
+hashes of its own windows. Where hashes meet, the texts get a suffix array (prefix doubling, as
+deep as the longest window), the windows are found in it by binary search, which settles what is
+there, and runs of adjoining windows give the longest verbatim matches with their places
+(matches shorter than a window are none).
 
 The benchmark is the query set. One block of bounded bytes is scanned for without a shuffle:
 the documents stay where they are. A larger benchmark is taken in such blocks, one pass of
@@ -14,6 +16,7 @@ task at a time. The passes' findings are staged and merged by document.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
 
 from unfurl.session import shared_path
 
@@ -32,6 +36,7 @@ WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
 #: A-Z to lower case, whatever is no word to a blank
 FOLD = bytes((b + 32 if 0x41 <= b <= 0x5A else b) if (b + 32 if 0x41 <= b <= 0x5A else b) in WORD_BYTES else 0x20
              for b in range(256))
+FACTOR = np.uint64(0x9E3779B97F4A7C15)      # odd: spreads the words' hashes over a window's
 SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 16 << 20
 
@@ -52,23 +57,66 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
+def word_hashes(distinct: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxh64_intdigest, distinct), np.uint64, len(distinct))
+
+
+def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """Of each run of ``size`` words, from the words' hashes."""
+    n = max(0, len(h) - size + 1)
+    out = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(size):
+            out = out * FACTOR + h[j:j + n]
+        return out ^ (out >> np.uint64(29))
+
+
 @dataclass
 class Windows:
-    """The windows of one benchmark block: distinct word sequences and who holds them."""
+    """The windows of one benchmark block: words as numbers, windows by hash; about 25 bytes a word."""
 
-    parts: list[tuple[bytes, ...]]              # distinct windows
-    held: list[list[tuple[int, int]]]           # of each: (item, word position)
-    names: list[str]                            # item ids
-    rows: list[int]                             # the items' rows in the benchmark
+    vocabulary: list[bytes]     # distinct words
+    flat: np.ndarray            # the items' words, by number
+    first: np.ndarray           # of each item: its first word in ``flat``; the end of the last
+    names: list[str]            # item ids
+    rows: list[int]             # the items' rows in the benchmark
+    hashes: dict[int, np.ndarray]       # by window length: ascending
+    places: dict[int, np.ndarray]       # where in ``flat`` the window of each hash stands
 
     @classmethod
     def of(cls, items: list[tuple[int, str, bytes]], size: int) -> Windows:
-        found: dict[tuple[bytes, ...], list[tuple[int, int]]] = {}
-        for i, (_, _, text) in enumerate(items):
-            w = words(text)
-            for p in range(max(1, len(w) - size + 1) if w else 0):
-                found.setdefault(tuple(w[p:p + size]), []).append((i, p))
-        return cls(list(found), list(found.values()), [name for _, name, _ in items], [row for row, _, _ in items])
+        number: dict[bytes, int] = {}
+        flat, first = array("i"), [0]
+        for _, _, text in items:
+            flat.extend(number.setdefault(w, len(number)) for w in words(text))
+            first.append(len(flat))
+        ids, starts = np.array(flat, np.int32), np.array(first, np.int64)
+        count = np.diff(starts)
+        h = word_hashes(list(number))[ids] if len(ids) else np.empty(0, np.uint64)
+        hashes, places = {}, {}
+        for n in np.unique(np.minimum(count[count > 0], size)).tolist():
+            mine = np.flatnonzero((count >= n) if n == size else (count == n))
+            begin = np.repeat(starts[mine], count[mine] - n + 1)
+            step = np.cumsum(count[mine] - n + 1) - (count[mine] - n + 1)
+            at = begin + np.arange(len(begin)) - np.repeat(step, count[mine] - n + 1)
+            got = window_hashes(h, n)[at]
+            order = np.argsort(got, kind="stable")
+            hashes[n], places[n] = got[order], at[order].astype(np.int32)
+        return cls(list(number), ids, starts, [name for _, name, _ in items], [row for row, _, _ in items], hashes, places)
+
+    def met(self, h: np.ndarray, inside: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """By window length: places in ``flat`` of the windows whose hash a shard's words make, and the
+        shard's places that make them. ``inside``: words from each place to the end of its text."""
+        out = []
+        for n, known in self.hashes.items():
+            there = window_hashes(h, n)
+            at = np.minimum(np.searchsorted(known, there), len(known) - 1)
+            shard = np.flatnonzero((known[at] == there) & (inside[:len(there)] >= n))
+            if len(shard):
+                hit = np.unique(there[shard])
+                lo, hi = np.searchsorted(known, hit), np.searchsorted(known, hit, side="right")
+                out.append((n, np.concatenate([self.places[n][a:b] for a, b in zip(lo.tolist(), hi.tolist())]), shard))
+        return out
 
 
 def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -132,25 +180,41 @@ def search(ids: np.ndarray, order: np.ndarray, asked: np.ndarray, length: np.nda
 
 
 def scan(texts: list[bytes], q: Windows, size: int) -> list[tuple]:
-    """Per text: words, hit words (bits), items, longest match (words, item, start, item's row)."""
+    """Per text: words, hit words (bits), items, longest match (words, item, start, item's row).
+
+    Benchmark windows whose hash no place of the shard has are not there; the others are looked
+    for in a suffix array of the texts that hold such places.
+    """
     number: dict[bytes, int] = {}
-    flat, starts = [], [0]
+    flat = []
     for t in texts:
         w = words(t)
-        flat.append(np.fromiter((number.setdefault(x, len(number) + 1) for x in w), np.int64, len(w)))
-        starts.append(starts[-1] + len(w) + 1)
+        flat.append(np.fromiter((number.setdefault(x, len(number)) for x in w), np.int64, len(w)))
     counts = [len(f) for f in flat]
     out = [(c, None, [], 0, None, None, None) for c in counts]
-    known = [i for i, p in enumerate(q.parts) if all(x in number for x in p)]
-    if not known:
+    if not number or not q.hashes:
+        return out
+    size_of = np.array(counts)
+    every = np.concatenate(flat)
+    owner = np.repeat(np.arange(len(texts)), size_of)
+    inside = np.cumsum(size_of)[owner] - np.arange(len(every))
+    h = word_hashes(list(number))[every]
+    met = q.met(h, inside)
+    if not met:
+        return out
+    held = _contents(q, met, number)
+    if not held:
         return out
+    listed = np.unique(owner[np.concatenate([shard for _, _, shard in met])]).tolist()      # the texts to look in
     zero = np.zeros(1, np.int64)     # ends every text: no match crosses it
-    ids = np.concatenate([x for f in flat for x in (f, zero)])
+    ids = np.concatenate([x for d in listed for x in (flat[d] + 1, zero)])
+    starts = np.concatenate([[0], np.cumsum([counts[d] + 1 for d in listed])])
     order = suffix_array(ids, size)
-    length = np.array([len(q.parts[i]) for i in known])
+    known = list(held)
+    length = np.array([len(k) for k in known])
     asked = np.zeros((len(known), int(length.max())), np.int64)
-    for row, i in enumerate(known):
-        asked[row, :length[row]] = [number[x] for x in q.parts[i]]
+    for row, k in enumerate(known):
+        asked[row, :length[row]] = np.array(k) + 1
     lo, hi = search(ids, order, asked, length)
     found = np.flatnonzero(hi > lo)
     if not len(found):
@@ -158,19 +222,19 @@ def scan(texts: list[bytes], q: Windows, size: int) -> list[tuple]:
     reps = hi[found] - lo[found]
     row = np.repeat(found, reps)
     at = order[np.repeat(lo[found], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)]
-    doc = np.searchsorted(np.array(starts), at, side="right") - 1
+    doc = np.searchsorted(starts, at, side="right") - 1
     by = np.argsort(doc, kind="stable")
     row, at, doc = row[by], at[by], doc[by]
     for d in np.unique(doc).tolist():
         a, b = np.searchsorted(doc, d), np.searchsorted(doc, d, side="right")
-        place, win = at[a:b] - starts[d], row[a:b]
-        mark = np.zeros(counts[d] + 1, np.int64)
+        place, win, own = at[a:b] - starts[d], row[a:b], listed[d]
+        mark = np.zeros(counts[own] + 1, np.int64)
         np.add.at(mark, place, 1)
         np.add.at(mark, place + length[win], -1)
         hit = np.cumsum(mark[:-1]) > 0
         # windows of one item on one diagonal, one after the other, are one verbatim match
         runs = sorted((i, p - k, p, int(length[w])) for p, w in zip(place.tolist(), win.tolist())
-                      for i, k in q.held[known[w]])
+                      for i, k in held[known[w]])
         best, run = (0, None, None), None
         for i, diagonal, p, n in runs:
             if run and run[:2] == (i, diagonal) and p == run[3] + 1:
@@ -180,7 +244,20 @@ def scan(texts: list[bytes], q: Windows, size: int) -> list[tuple]:
             if p + n - run[2] > best[0]:
                 best = (p + n - run[2], i, run[2])
         items = {q.names[i] for i, *_ in runs}
-        out[d] = (counts[d], zlib.compress(np.packbits(hit).tobytes()), sorted(items), best[0], q.names[best[1]], best[2], q.rows[best[1]])
+        out[own] = (counts[own], zlib.compress(np.packbits(hit).tobytes()), sorted(items), best[0], q.names[best[1]], best[2], q.rows[best[1]])
+    return out
+
+
+def _contents(q: Windows, met: list[tuple[int, np.ndarray, np.ndarray]], number: dict[bytes, int]) -> dict[tuple, list[tuple[int, int]]]:
+    """Distinct windows at these places, in the shard's numbers: (item, word position) of each holder.
+    A window with a word that the shard does not have met only by its hash, and goes."""
+    out: dict[tuple, list[tuple[int, int]]] = {}
+    for n, places, _ in met:
+        item = np.searchsorted(q.first, places, side="right") - 1
+        for p, i in zip(places.tolist(), item.tolist()):
+            key = tuple(number.get(q.vocabulary[w], -1) for w in q.flat[p:p + n].tolist())
+            if -1 not in key:
+                out.setdefault(key, []).append((i, p - int(q.first[i])))
     return out
 
 
@@ -268,6 +345,7 @@ def match(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str =
     window is ``size`` consecutive words of an item, or all words of a shorter one. Null
     texts have no words, null item ids are the empty string; items without words match nothing;
     rows sharing an item id are one item in ``items``; repeated documents are judged one by one.
+    Columns of ``docs`` named like those of RESULT are replaced.
     ``longest`` and the columns after it name the longest verbatim match: its words, its item,
     the word it starts at. Ties go to the first item row, then the first place. Empty tables
     give empty or clean results.
@@ -279,16 +357,20 @@ def match(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str =
                              F.monotonically_increasing_id().alias("row"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
-    text = F.col(text_col).cast("string")
+    if not clean_only:
+        if text_col in RESULT.names:        # the text stands in a column that is replaced
+            docs, text_col = docs.withColumn("_dc_text", F.col(f"`{text_col}`")), "_dc_text"
+        docs = docs.drop(*RESULT.names)
+    text = F.col(f"`{text_col}`").cast("string")
     if n == 1:
         find = _finder(docs.sparkSession.sparkContext.broadcast(Windows.of(_listed(items), size)), size, shard_bytes)
         if clean_only:
             flag = T.StructType([T.StructField("hit", T.BooleanType())])
             return common.append_columns(docs, [text], lambda t: [[r[1] is not None for r in find(t)]], flag,
                                          keep=lambda hit: pc.invert(hit))
-        return common.append_columns(docs, [text], lambda t: _result(find(t)), RESULT)
+        return common.append_columns(docs, [text], lambda t: _result(find(t)), RESULT).drop("_dc_text")
 
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    own = [F.col(f"`{c}`") for c in docs.columns if c != "_dc_text"]
     keyed = common.stage(docs.withColumn("_dc_row", F.monotonically_increasing_id()), "decontaminate")
     found = _found_in_blocks(keyed.select("_dc_row", text.alias("text")), items, n, size, shard_bytes, not clean_only)
     if clean_only:
