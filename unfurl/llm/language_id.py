@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,8 +65,8 @@ class Fusion:
 
     Trigram models are fitted on a sample of the labelled rows (all else uses every row): of a
     language, ``sample_rows`` by its share of them, or ``language_rows`` if that is more, or all
-    it has; ``sample_rows + max_languages * language_rows`` in all at most, in expectation. Every
-    declared language is modelled; more than ``max_languages`` are an error. ``independent`` is the number of trigrams a text counts for at most, as
+    it has; ``sample_rows + max_languages * language_rows`` in all at most, in expectation. The
+    ``max_languages`` declared most often are modelled, the others count as "other". ``independent`` is the number of trigrams a text counts for at most, as
     neighbouring trigrams are not independent. ``pull`` is the weight, in documents, of the
     level above in the smoothing. Documents whose best posterior is below ``min_posterior``,
     or whose text has no letter, are rejected.
@@ -83,27 +84,30 @@ class Fusion:
 LETTER = r"[A-Za-z]|[^\x00-\x7F]"
 
 
+def primary(label: Column) -> Column:
+    """The language of a declared label (``en`` of ``en-US`` and ``EN_gb``); '' for what is no language code."""
+    return F.regexp_extract(F.lower(F.coalesce(label.cast("string"), F.lit(""))), r"^\s*([a-z]{2,8})(?![a-z])", 1)
+
+
 def fit_text_model(docs: DataFrame, text: Column, label: Column, sample_rows: int,
                    max_languages: int = 256, language_rows: int = 200, alpha: float = 0.5) -> TextModel:
-    """Trigram models of every language with a labelled row that has a letter.
+    """Trigram models of the languages declared most often on rows that have a letter.
 
     Languages are counted over all rows; the rows of each that are fitted on are chosen by hash
-    (see ``Fusion``). Only counts reach the driver: at most languages x buckets rows.
+    (see ``Fusion``). The driver gets one packed row of counts per language.
     """
-    rows = docs.select(text.cast("string").alias("text"), F.lower(label.cast("string")).alias("lang"))
+    rows = docs.select(text.cast("string").alias("text"), primary(label).alias("lang"))
     rows = rows.where((F.col("lang") != "") & F.col("text").rlike(LETTER))
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(max_languages + 1).collect()}
-    if len(sizes) > max_languages:
-        raise ValueError(f"more than {max_languages} declared languages; at most so many are modelled")
+    most = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+    sizes = {r["lang"]: r["count"] for r in most.collect()}
+    if not sizes:
+        return TextModel([], np.zeros((1 << BUCKET_BITS, 1), np.float32))
     n = sum(sizes.values())
-    if n > sample_rows:
-        chance = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 30))
-        limit = F.lit(1 << 30)      # of languages that stay whole
-        for lang, k in sizes.items():
-            share = max(sample_rows / n, language_rows / k)
-            if share < 1:
-                limit = F.when(F.col("lang") == lang, F.lit(int((1 << 30) * share))).otherwise(limit)
-        rows = rows.where(chance < limit)
+    # of a million, how many of a language's rows are taken
+    part = {lang: min(1.0, max(sample_rows / n, language_rows / k)) if n > sample_rows else 1.0 for lang, k in sizes.items()}
+    limit = F.create_map(*[F.lit(x) for lang, p in part.items() for x in (lang, int((1 << 30) * p))])
+    chance = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 30))
+    rows = rows.where(chance < F.element_at(limit, F.col("lang")))      # null for languages that are not modelled
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -117,57 +121,78 @@ def fit_text_model(docs: DataFrame, text: Column, label: Column, sample_rows: in
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(s[at])],
                                                  ["lang", "gram", "n"])
 
+    def packed(table: pa.Table) -> pa.Table:
+        sums = np.zeros(1 << BUCKET_BITS, np.int64)
+        sums[table["gram"].to_numpy()] = table["n"].to_numpy()
+        return pa.table({"lang": table["lang"][:1], "n": pa.array([zstandard.compress(sums.tobytes())], pa.binary())})
+
     counted = (rows.mapInArrow(count, "lang string, gram int, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    got = counted.toPandas()
-    languages = sorted(got["lang"].unique())
+    got = {r["lang"]: np.frombuffer(zstandard.decompress(r["n"]), np.int64)
+           for r in counted.groupBy("lang").applyInArrow(packed, "lang string, n binary").collect()}
+    languages = sorted(got)
     table = np.full((1 << BUCKET_BITS, max(1, len(languages))), alpha)
-    if languages:
-        table[got["gram"].to_numpy(), np.searchsorted(languages, got["lang"])] += got["n"].to_numpy()
+    for i, lang in enumerate(languages):
+        table[:, i] += got[lang]
     return TextModel(languages, np.log(table / table.sum(axis=0)).astype(np.float32))
 
 
-def _declared(label: Column, languages: list[str]) -> Column:
-    """Number of the declared language; the number of languages for others, null for none."""
-    code = F.regexp_extract(F.lower(label.cast("string")), "^[a-z]+", 0)
-    out = F.when(code == "", F.lit(None).cast("int"))
-    for i, lang in enumerate(languages):
-        out = out.when(code == lang, F.lit(i))
-    return out.when(code.isNotNull(), F.lit(len(languages)))
+def _numbers(codes: pa.Array, languages: list[str]) -> list[int | None]:
+    """Number of each declared language; the number of languages for others, None for none."""
+    number = {lang: i for i, lang in enumerate(languages)}
+    return [None if c == "" else number.get(c, len(languages)) for c in codes.to_pylist()]
+
+
+def evidence(host: np.ndarray, domain: np.ndarray, suffix: np.ndarray | None, total: np.ndarray, pull: float) -> np.ndarray:
+    """Log prior of a host and log-likelihood ratio of its address suffix, by language; arguments are
+    documents by language. A host is smoothed towards its domain, that towards the whole corpus."""
+    base = (total + 1) / (total + 1).sum()
+    near = (domain + pull * base) / (domain.sum() + pull)
+    out = np.log((host + pull * near) / (host.sum() + pull))
+    if suffix is not None:
+        # P(suffix | language) against P(suffix)
+        share = (suffix.sum() + 1.0) / ((total.sum() or 1.0) + 1.0)
+        out += np.log((suffix + pull * share) / (total + pull) / share)
+    return out
 
 
 def _host_evidence(seen: DataFrame, n_lang: int, pull: float) -> tuple[DataFrame, np.ndarray]:
-    """host, evidence (log prior + suffix log-likelihood by language), and the declared table.
+    """_li_host, _li_prior (doubles as bytes, by language), and the table of declared languages.
 
-    ``seen``: host, declared, best, n.
+    ``seen``: host, declared, best, n. Counts are rows of (host, language), so no plan grows with
+    the number of languages.
     """
-    counts = [F.sum(F.when(F.col("best") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(n_lang)]
-    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(n_lang)]
+    def listed(counts: DataFrame, key: str) -> DataFrame:
+        """One row per key; its list has an entry per language at most."""
+        sums = counts.groupBy(key, "best").agg(F.sum("n").alias("n"))
+        return sums.groupBy(key).agg(F.collect_list(F.struct("best", "n")).alias(f"{key}_n"))
+
     labels = F.split("host", r"\.")
     dotted = F.size(labels) > 1
-    hosts = seen.groupBy("host").agg(*counts).withColumns({
+    counts = common.stage(seen.groupBy("host", "best").agg(F.sum("n").alias("n")).withColumns({
         "domain": F.when(dotted, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(F.col("host")),
-        "suffix": F.when(dotted, F.element_at(labels, -1)).otherwise(F.lit(""))})
-    hosts = common.stage(hosts, "hosts")
-    total = np.array([v or 0 for v in hosts.agg(*sums).first()], float)
-    base = (total + 1) / (total + 1).sum()
-    domains = hosts.groupBy("domain").agg(*sums)
-    suffixes = hosts.groupBy("suffix").agg(*sums)
-
-    def size(t: str) -> Column:
-        return sum((F.col(f"{t}.n{i}") for i in range(n_lang)), F.lit(0))
-
-    logs = []
-    all_n = float(total.sum()) or 1.0
-    for i in range(n_lang):
-        domain = (F.col(f"d.n{i}") + F.lit(pull * base[i])) / (size("d") + F.lit(pull))
-        host = (F.col(f"h.n{i}") + F.lit(pull) * domain) / (size("h") + F.lit(pull))
-        # P(suffix | language) against P(suffix): texts without a suffix carry no evidence
-        share = (size("s") + F.lit(1.0)) / F.lit(all_n + 1.0)
-        given = (F.col(f"s.n{i}") + F.lit(pull) * share) / F.lit(total[i] + pull)
-        logs.append(F.log(host) + F.when(F.col("h.suffix") == "", F.lit(0.0)).otherwise(F.log(given / share)))
-    out = (hosts.alias("h").join(domains.alias("d"), "domain").join(suffixes.alias("s"), "suffix")
-           .select(F.col("h.host").alias("_li_host"), F.array(*logs).alias("_li_prior")))
+        "suffix": F.when(dotted, F.element_at(labels, -1)).otherwise(F.lit(""))}), "hosts")
+    total = np.zeros(n_lang)
+    for r in counts.where("best >= 0").groupBy("best").agg(F.sum("n").alias("n")).collect():
+        total[r["best"]] = r["n"]
+    names = counts.select("host", "domain", "suffix").distinct()
+    rows = (names.join(listed(counts, "host"), "host").join(listed(counts, "domain"), "domain")
+            .join(listed(counts, "suffix"), "suffix"))
+
+    def dense(pairs: list[dict]) -> np.ndarray:
+        out = np.zeros(n_lang)
+        for p in pairs:
+            if p["best"] >= 0:      # texts without letters speak for no language
+                out[p["best"]] = p["n"]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [evidence(dense(h), dense(d), dense(s) if suffix else None, total, pull).tobytes()
+                   for suffix, h, d, s in zip(*[b.column(i).to_pylist() for i in range(1, 5)])]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], ["_li_host", "_li_prior"])
+
+    out = rows.select("host", "suffix", "host_n", "domain_n", "suffix_n").mapInArrow(run, "_li_host string, _li_prior binary")
     pairs = seen.where("declared is not null").groupBy("declared", "best").agg(F.sum("n").alias("n")).collect()
     table = np.zeros((n_lang + 1, n_lang))
     for r in pairs:     # (languages + 1) x languages rows at most
@@ -183,8 +208,8 @@ def identify(docs: DataFrame, text: Column | str = "text", declared: Column | st
 
     The models are fitted on the rows' own declared languages. A null or empty text, or one
     without letters, has no language (null), posterior 0 and is not kept. Without a declared
-    language that evidence is left out; a declared language that is not modelled counts as
-    "other". Null hosts share one prior. Repeated rows get equal results; ties go to the
+    language that evidence is left out; declared labels count by their primary code, and one
+    that is not modelled counts as "other". Null hosts share one prior. Repeated rows get equal results; ties go to the
     language first in the alphabet. Without any labelled row nothing can be identified.
     """
     def col(c):
@@ -192,6 +217,7 @@ def identify(docs: DataFrame, text: Column | str = "text", declared: Column | st
     text, declared = col(text).cast("string"), col(declared)
     host = F.lower(F.coalesce(col(host).cast("string"), F.lit("")))
     spark = docs.sparkSession
+    common.bound_batches(spark)
     model = fit_text_model(docs, text, declared, how.sample_rows, how.max_languages, how.language_rows)
     n_lang = len(model.languages)
     if not n_lang:      # nothing to learn from
@@ -208,9 +234,10 @@ def identify(docs: DataFrame, text: Column | str = "text", declared: Column | st
             for t in common.text_bytes(b.column(2)):
                 s, n = m.score(t)
                 out.append(int(s.argmax()) if n else -1)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.int32())], ["host", "declared", "best"])
+            said = pa.array(_numbers(b.column(1), m.languages), pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), said, pa.array(out, pa.int32())], ["host", "declared", "best"])
 
-    seen = (docs.select(host.alias("host"), _declared(declared, model.languages).alias("declared"), text.alias("text"))
+    seen = (docs.select(host.alias("host"), primary(declared).alias("declared"), text.alias("text"))
             .mapInArrow(best, "host string, declared int, best int")
             .groupBy("host", "declared", "best").agg(F.count(F.lit(1)).alias("n")))
     priors, agree = _host_evidence(common.stage(seen, "language_seen"), n_lang, how.pull)
@@ -218,7 +245,7 @@ def identify(docs: DataFrame, text: Column | str = "text", declared: Column | st
     salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_li_salt")
     priors = common.stage(priors.select("_li_host", "_li_prior", salts), "host_priors")
     own = docs.columns
-    keyed = docs.withColumns({"_li_key": host, "_li_text": text, "_li_declared": _declared(declared, model.languages)})
+    keyed = docs.withColumns({"_li_key": host, "_li_text": text, "_li_declared": primary(declared)})
     keyed = keyed.withColumn("_li_pick", F.pmod(F.xxhash64("_li_text", F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
     joined = keyed.join(priors, (F.col("_li_key") == F.col("_li_host")) & (F.col("_li_pick") == F.col("_li_salt")), "left")
     out = T.StructType([T.StructField("language", T.StringType()), T.StructField("posterior", T.DoubleType()),
@@ -226,14 +253,14 @@ def identify(docs: DataFrame, text: Column | str = "text", declared: Column | st
 
     def fuse(texts: pa.Array, said: pa.Array, prior: pa.Array) -> list:
         m, lang, post, by_text, kept = sent.value, [], [], [], []
-        for t, d, p in zip(common.text_bytes(texts), said.to_pylist(), prior.to_pylist()):
+        for t, d, p in zip(common.text_bytes(texts), _numbers(said, m.languages), prior.to_pylist()):
             mean, n = m.score(t)
             if not n:
                 lang.append(None), post.append(0.0), by_text.append(None), kept.append(False)
                 continue
             log = mean * min(n, how.independent)
             if p is not None:
-                log = log + np.array(p)
+                log = log + np.frombuffer(p)
             if d is not None:
                 log = log + agree[d]
             share = np.exp(log - log.max())
