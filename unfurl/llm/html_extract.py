@@ -450,5 +450,7 @@ def extract(pages: DataFrame, html_col: str = "html", how: Training = Training()
             out += ["\n".join(blocks(p, decode(p, odds[e - len(p.nodes):e]))) for p, e in zip(parsed, ends)]
         return [out, [len(t) for t in out]]
 
-    rest = pages.drop("text", "n_chars") if html_col not in ("text", "n_chars") else pages
-    return common.append_columns(rest, [html], run, OUT)
+    if html_col not in OUT.names:
+        return common.append_columns(pages.drop(*OUT.names), [html], run, OUT)
+    rest = pages.withColumn("_hx_html", html).drop(*OUT.names)      # the html stands in a column that is replaced
+    return common.append_columns(rest, [F.col("_hx_html")], run, OUT).drop("_hx_html")

@@ -57,7 +57,7 @@ class ByteLevelTokenizer:
     the tokenizer itself.
     """
 
-    def __init__(self, path: str, cache: int = 500_000):
+    def __init__(self, path: str, cache: int = 150_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
@@ -210,6 +210,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         if held:
             yield flush()
 
+    common.bound_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, PIECES)
 
