@@ -23,7 +23,7 @@ def con():
 
 
 def test_every_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
@@ -39,7 +39,7 @@ def test_query_matches_sql(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(n for n in queries.QUERIES if n not in queries.ORACLE_SQL))
 def test_query_returns_every_row(spark, con, name):
-    table, key = ("pages", "page_id") if "page" in name or "html" in name else ("documents", "doc_id")
+    table, key = ("pages", "page_id") if any(x in name for x in ("page", "html", "warc")) else ("documents", "doc_id")
     got = queries.QUERIES[name](spark, SF)
     assert got.select(key).distinct().count() == con.sql(f"SELECT count(DISTINCT {key}) FROM {table}").fetchall()[0][0]
 

@@ -148,6 +148,7 @@ def bucket_counts(df: DataFrame, text_col: str = "text", how: Sampling = Samplin
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["bucket", "n"])
 
+    common.bound_batches(df.sparkSession)
     texts = df.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     sums = texts.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(how.buckets, np.int64)

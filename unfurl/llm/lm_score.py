@@ -54,13 +54,13 @@ class Model:
 def pack(values: np.ndarray) -> bytes:
     """Unsigned integers, bytes of equal weight side by side, compressed."""
     wide = values.astype(np.uint32) if values.dtype != np.uint64 else values
-    return zstandard.compress(wide.view(np.uint8).reshape(len(wide), -1).T.tobytes(), 1)
+    return zstandard.compress(wide.view(np.uint8).reshape(len(wide), wide.itemsize).T.tobytes(), 1)
 
 
 def unpack(data: bytes, kind: type) -> np.ndarray:
     raw = np.frombuffer(zstandard.decompress(data), np.uint8)
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(raw.reshape(size, len(raw) // size).T).view(kind).ravel()
 
 
 def number_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
