@@ -52,7 +52,7 @@ STAGES = [
 ]
 
 #: XXH64 fingerprints, suffix arrays, language models and tokenizers have no SQL form;
-#: tests/llm/test_pipeline.py holds every stage against a brute-force version.
+#: tests/llm/test_queries.py holds every stage against a brute-force version.
 ORACLE_SQL = None
 
 

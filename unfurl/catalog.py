@@ -814,7 +814,11 @@ def q_repartition_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stage(spark, "pass_out")
     write_text(passthrough_text(rows, "value", "log_timestamp"), path, mode="overwrite",
                partition_by=["log_timestamp"])
-    back = spark.read.schema("value string, log_timestamp string").text(path)
+    return _passed_on(spark.read.schema("value string, log_timestamp string").text(path))
+
+
+def _passed_on(back: DataFrame) -> DataFrame:
+    """Leaves of documents that were passed on as text."""
     leaf = lambda p, t="string": F.variant_get(F.parse_json("value"), p, t)
     names = ["method", "@timestamp", "request_id", "message", "log_user", "hostname", "log_url",
              "day", "extra"]
@@ -883,6 +887,37 @@ def q_incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(job(items).schema).parquet(sink)
 
 
+@register("incremental_documents", SQL_LOG_OUTPUT)
+def q_incremental_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + PL8: multi-line log documents in two drops, the method default on, then the log job."""
+    recs = D.log_records(D.tables(spark, sf_dir).events)
+    src, sink, ckpt = (_stage(spark, f"inc_docs_{n}") for n in ("src", "sink", "ckpt"))
+    job = lambda df: log_records_etl(df, method_default="BAD")
+    for i, drop in enumerate((recs.where(F.col("day") < CUT), recs.where(F.col("day") >= CUT))):
+        D.stage_json_array(drop.drop("day"), f"{src}/drop={i}")
+        run_incremental(file_stream(spark, f"{src}/*/docs", LOG_LINE_SCHEMA, multiLine="true"), job, sink, ckpt)
+    return spark.read.schema(job(SRC.read_json_array(spark, f"{src}/*/docs", LOG_LINE_SCHEMA)).schema).parquet(sink)
+
+
+@register("incremental_passthrough", ORACLE_SQL["repartition_passthrough"])
+def q_incremental_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + PL10: whole documents in two drops, every field passed on, written by ``log_timestamp``
+    into a folder per batch, read back."""
+    recs = D.log_records(D.tables(spark, sf_dir).events, hourly=True).withColumn("extra", F.lit("unlisted"))
+    src, sink = (_stage(spark, f"inc_pass_{n}") for n in ("src", "sink"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        docs = batch.select(F.try_parse_json("value").alias("document"))
+        rows = docs.lateralJoin(batch.sparkSession.tvf.variant_explode(F.col("document").outer())).select("value")
+        write_text(passthrough_text(rows, "value", "log_timestamp"), f"{sink}/batch={batch_id}", mode="overwrite",
+                   partition_by=["log_timestamp"])
+
+    for i, drop in enumerate((recs.where(F.col("day") < CUT), recs.where(F.col("day") >= CUT))):
+        D.stage_json_array(drop, f"{src}/drop={i}")
+        run_batches(file_stream(spark, f"{src}/*/docs", "value string", fmt="text", wholetext="true"), handle, f"{sink}.checkpoint")
+    return _passed_on(spark.read.schema("value string, log_timestamp string").text(sink))
+
+
 def _mod(c: str, n: int):
     return F.pmod(F.xxhash64(c), F.lit(n))
 
