@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import random
 import re
-from dataclasses import dataclass
+import zlib
+from dataclasses import dataclass, field
 from html import unescape
 
 import numpy as np
@@ -52,12 +53,13 @@ RAW = {t: re.compile(f"</{t}(?=[\\s/>])|$(?![\\s\\S])", re.I) for t in ("script"
 
 
 class Node:
-    """An element: its kind, its parent's number, its depth, and what its attributes say."""
+    """An element: its kind, its parent's number, its depth, and what its attributes say: known words
+    against and for main text, and the hash buckets of all words."""
 
-    __slots__ = ("tag", "parent", "depth", "against", "favour", "children")
+    __slots__ = ("tag", "parent", "depth", "against", "favour", "tokens", "children")
 
-    def __init__(self, tag: str, parent: int, depth: int, against: int = 0, favour: int = 0):
-        self.tag, self.parent, self.depth, self.against, self.favour = tag, parent, depth, against, favour
+    def __init__(self, tag: str, parent: int, depth: int, against: int = 0, favour: int = 0, tokens: tuple[int, ...] = ()):
+        self.tag, self.parent, self.depth, self.against, self.favour, self.tokens = tag, parent, depth, against, favour, tokens
         self.children: list[int] = []
 
 
@@ -102,12 +104,14 @@ class Page:
             while len(self.open) > 1 and tag in ENDS.get(near := self._near(), ()):
                 self._shut(near)
         against = favour = 0
+        tokens: tuple[int, ...] = ()
         if "=" in attrs:
             words = {w for g in NAMES.findall(attrs) for w in re.split(r"[^a-z]+", CAMEL.sub(r"\1-\2", g[0] or g[1] or g[2]).lower())}
             against, favour = len(words & AGAINST), len(words & IN_FAVOUR)
+            tokens = tuple(sorted(zlib.crc32(w.encode()) % TOKEN_BUCKETS for w in words if w))
         up = self.open[-1]
         me = len(nodes)
-        nodes.append(Node(tag, up, nodes[up].depth + 1, against, favour))
+        nodes.append(Node(tag, up, nodes[up].depth + 1, against, favour, tokens))
         nodes[up].children.append(me)
         if tag in BLOCK:
             self.events.append((me, "", True))
@@ -148,10 +152,12 @@ CLOSERS = frozenset().union(*ENDS.values())
 PROSE = frozenset("blockquote p pre".split())
 ITEMS = frozenset("li option td".split())
 LOGGED = [5, 6, 8]      # columns that hold counts
+TOKEN_BUCKETS = 1024
 
 
-def raw_features(page: Page) -> list[tuple]:
-    """One tuple per element; features() turns them into the trees' columns."""
+def raw_features(page: Page, learnt: list[float]) -> list[tuple]:
+    """One tuple per element; features() turns them into the trees' columns. ``learnt``: what each
+    attribute token's bucket says for main text."""
     nodes = page.nodes
     n = len(nodes)
     shown = page.shown()
@@ -171,10 +177,14 @@ def raw_features(page: Page) -> list[tuple]:
                 blocks_[i] += 1
     against, favour, bad, good, in_link, place = [0] * n, [0] * n, [0] * n, [0] * n, [False] * n, [0] * n
     prose, items = [0] * n, [0] * n
+    said, least, most = [0.0] * n, [0.0] * n, [0.0] * n     # by the element's tokens, and by those around it
     for i, x in enumerate(nodes):
         tag, p = x.tag, x.parent
         against[i], favour[i], bad[i], good[i] = x.against, x.favour, tag in BOILERPLATE, tag in MAIN
         in_link[i], prose[i], items[i] = tag == "a", tag in PROSE, tag in ITEMS
+        if x.tokens:
+            said[i] = sum(learnt[t] for t in x.tokens)
+        least[i], most[i] = min(said[i], least[p] if p >= 0 else 0.0), max(said[i], most[p] if p >= 0 else 0.0)
         if p >= 0:
             against[i] += against[p]
             favour[i] += favour[p]
@@ -205,13 +215,16 @@ def raw_features(page: Page) -> list[tuple]:
         out.append((x.depth, len(x.children), place[i], sib, place[i] / (sib - 1 or 1), t, own[i], link[i] / (t or 1), z, t / z,
                     t / whole, punct[i] / (t or 1), words[i] / (blocks_[i] or 1), t / (total[p] or 1), total[p] / size[p],
                     max(first[i], 0) / whole, prose[i] / z, items[i] / z, x.against, x.favour, against[i], favour[i], bad[i], good[i],
-                    2 if tag in BLOCK else tag in INLINE, not shown[i]))
+                    2 if tag in BLOCK else tag in INLINE, not shown[i], said[i], least[i], most[i]))
     return out
 
 
-def features(pages: list[Page]) -> np.ndarray:
+NO_TOKENS = [0.0] * TOKEN_BUCKETS
+
+
+def features(pages: list[Page], learnt: list[float] = NO_TOKENS) -> np.ndarray:
     """One row per element of the pages, one after the other."""
-    x = np.array([row for p in pages for row in raw_features(p)], np.float64)
+    x = np.array([row for p in pages for row in raw_features(p, learnt)], np.float64)
     x[:, LOGGED] = np.log1p(x[:, LOGGED])
     return x
 
@@ -234,15 +247,30 @@ def truth(page: Page) -> np.ndarray | None:
     return hold
 
 
+def token_evidence(pages: list[tuple[Page, np.ndarray]]) -> list[float]:
+    """Of each bucket of attribute tokens, the log-odds that an element with it holds main text against
+    elements in general; 0 for buckets that were not met. A page counts a bucket once a side."""
+    yes, no = np.zeros(TOKEN_BUCKETS), np.zeros(TOKEN_BUCKETS)
+    for page, label in pages:
+        for side, want in ((yes, True), (no, False)):
+            met = {t for x, y in zip(page.nodes, label) if bool(y) == want for t in x.tokens}
+            side[list(met)] += 1
+    out = np.log((yes + 0.5) / (no + 0.5))
+    out[yes + no == 0] = 0.0
+    return np.clip(out, -3, 3).tolist()
+
+
 @dataclass
 class Trees:
-    """Boosted regression trees of fixed depth: feature, threshold and leaf arrays."""
+    """Boosted regression trees of fixed depth: feature, threshold and leaf arrays; and what was learnt
+    of the attribute tokens."""
 
     base: float
     feature: np.ndarray         # trees x inner nodes
     threshold: np.ndarray
     leaf: np.ndarray            # trees x leaves
     depth: int
+    tokens: list[float] = field(default_factory=lambda: NO_TOKENS)
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.base)
@@ -399,7 +427,7 @@ def _elsewhere(html: str, rng: random.Random) -> tuple[str, str] | None:
 def fit(pages: list[str], how: Training = Training(), seed: int = 7) -> Trees:
     """Trees from sampled pages and their copies in other markup. Without any usable page: from made-up ones."""
     rng = random.Random(seed)
-    xs, ys = [], []
+    known: list[tuple[Page, np.ndarray]] = []
     if not any(truth(Page(p)) is not None for p in pages):
         pages = [*pages, "<nav><a>Home</a></nav><article><h1>Title of it</h1><p>Some words of main text, at length.</p>"
                  "<p>More words of main text, at some length too.</p></article><footer>Imprint</footer>"]
@@ -407,21 +435,25 @@ def fit(pages: list[str], how: Training = Training(), seed: int = 7) -> Trees:
         page = Page(html)
         label = truth(page)
         if label is not None:
-            xs.append(features([page]))
-            ys.append(label)
+            known.append((page, label))
         for _ in range(2):
             pair = _elsewhere(html, rng)
             if pair:
                 twin = Page(pair[1])
                 other = Page(pair[0])
                 if len(twin.nodes) == len(other.nodes):
-                    xs.append(features([other]))
-                    ys.append(truth(twin))
-    x, y = np.concatenate(xs), np.concatenate(ys)
+                    known.append((other, truth(twin)))
+    # the tokens' evidence on a page comes from other pages, as it will when the trees are used
+    folds = [token_evidence([k for i, k in enumerate(known) if i % FOLDS != f]) for f in range(FOLDS)]
+    xs = [features([page], folds[i % FOLDS]) for i, (page, _) in enumerate(known)]
+    x, y = np.concatenate(xs), np.concatenate([label for _, label in known])
     weight = np.concatenate([np.full(len(a), 30.0 / len(a)) for a in xs])   # a long page counts no more than a short one
-    return train(x, y, weight, how.trees, how.depth)
+    made = train(x, y, weight, how.trees, how.depth)
+    made.tokens = token_evidence(known)
+    return made
 
 
+FOLDS = 4
 OUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
 
@@ -445,7 +477,7 @@ def extract(pages: DataFrame, html_col: str = "html", how: Training = Training()
         raw = common.text_bytes(column)
         for lo, hi in common.slices(raw, 8 << 20):
             parsed = [Page(t.decode("utf-8", "replace")) for t in raw[lo:hi]]
-            odds = sent.value.log_odds(features(parsed))
+            odds = sent.value.log_odds(features(parsed, sent.value.tokens))
             ends = np.cumsum([len(p.nodes) for p in parsed])
             out += ["\n".join(blocks(p, decode(p, odds[e - len(p.nodes):e]))) for p, e in zip(parsed, ends)]
         return [out, [len(t) for t in out]]
