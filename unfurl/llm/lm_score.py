@@ -47,7 +47,7 @@ class Model:
     alpha: float = 0.1
     rounds: int = 40
     chunk_bytes: int = 6 << 20
-    table_keys: int = 2_000_000
+    table_keys: int = 1_000_000
     bins_per_decade: int = 10
 
 
