@@ -80,6 +80,8 @@ def links(fps: DataFrame, distance: int = 3, bucket: int = 2048) -> DataFrame:
     Nothing is dropped.
     """
     n, found = max(1, distance // 2 + 1), []     # of n segments one differs by at most one bit
+    # a fingerprint becomes 64 rows and more: dealt to all tasks first, by a number that is kept
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     todo = [(list(range(BITS)), fps.select("fp", F.lit(0).cast("long").alias("k")))]
     while todo:
         bits, keyed = todo.pop()
