@@ -14,6 +14,7 @@ longer one stays in shards: distinct candidates are dealt to the shard that coul
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -189,15 +190,19 @@ def probe(urls: DataFrame, url_col: str, entries: UrlList, local_bytes: int = 64
     return out.drop("_uf_cand", "_uf_digest")
 
 
+_opened: dict[str, DigestArray] = {}
+
+
 def _probe_local(d: DataFrame, entries: UrlList) -> DataFrame:
     rows = entries.shards.orderBy("low").select("digests", "offsets", "strings", "blocks").collect()
     sent = d.sparkSession.sparkContext.broadcast([tuple(map(bytes, r)) for r in rows])
-    opened: list[DigestArray] = []
+    name = uuid.uuid4().hex
 
     def fn(cands: pa.Array, digests: pa.Array) -> list:
-        if not opened:
-            opened.append(DigestArray(sent.value))
-        array = opened[0]
+        if name not in _opened:     # one per worker process, whatever the number of its tasks
+            _opened.clear()
+            _opened[name] = DigestArray(sent.value)
+        array = _opened[name]
         flat = common.text_bytes(cands.flatten())
         at = array.find(digests.flatten().to_numpy(zero_copy_only=False).astype(np.int64), flat).tolist()
         ends = np.cumsum([0, *[n or 0 for n in pc.list_value_length(cands).to_pylist()]]).tolist()
