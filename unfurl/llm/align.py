@@ -19,7 +19,7 @@ import hashlib
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,6 +63,24 @@ class ByteLevel:
         return self.encoder.encode([" " + t for t in texts])
 
 
+class _Words(packing._Chunks):
+    """Ids of words, looked up line by line where a line feed is a token of its own."""
+
+    def __init__(self, encode: Callable[[str], list[int]], cache: int, lines: bool):
+        super().__init__(encode, "", cache)
+        self.lines = packing._Chunks(lambda t: encode("\n" + t)[1:], "", cache) if lines else None
+
+    def __missing__(self, word: str) -> bytes:
+        if self.lines is None or "\n" not in word:
+            return super().__missing__(word)
+        first, *rest = word.split("\n")
+        # the blank in front of a first line without text is a token by itself
+        return (self[first] if first else self._blank()) + b"".join(map(self.lines.__getitem__, rest))
+
+    def _blank(self) -> bytes:
+        return array("I", self.encode("\n")[:1]).tobytes()
+
+
 class Pieces:
     """A ``sentencepiece`` model, which puts a blank in front of a text itself.
 
@@ -82,7 +100,9 @@ class Pieces:
         probe = "  a  \u00e9\u2460\ufb01\u212b \t\n b "
         kept = b"".join(self.bytes[i] for i in m.encode(probe)) == f" {probe}".encode()
         self.by_word = kept and not any(inner.search(p) for p in names)
-        self.words = packing._Chunks(lambda t: m.encode(t, num_threads=1), "", cache)
+        # a line feed that is a byte of its own cuts as well: what follows it has no blank in front
+        line = [names[i] for i in m.encode("\nab")]
+        self.words = _Words(lambda t: m.encode(t, num_threads=1), cache, self.by_word and line[:2] == [self.MARK, "<0x0A>"])
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
