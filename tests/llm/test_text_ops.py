@@ -285,3 +285,18 @@ def test_empty_tables(spark, make):
     assert decontaminate.match(make([(1, "x y")]), bench).first().n_hit == 0
     assert packing.pack(docs, queries.tokenizer_path()).count() == 0
     assert quality_rules.quality_rules(docs).count() == 0
+
+
+def test_simhash_variants_are_not_broadcast(spark, monkeypatch):
+    """64 rows a fingerprint, of which Spark's size estimate knows nothing."""
+    from tests.conftest import plan_text
+    plans, plain = {}, simhash.common.stage
+
+    def staged(df, name):
+        plans[name] = plan_text(df, "simple")
+        return plain(df, name)
+
+    monkeypatch.setattr(simhash.common, "stage", staged)
+    fps = spark.createDataFrame([(x,) for x in (0, 1, 3, 1 << 40)], "fp long")
+    assert len(simhash.links(fps).collect()) >= 2
+    assert "SortMergeJoin" in plans["variants"] and "Broadcast" not in plans["variants"]

@@ -89,7 +89,8 @@ def links(fps: DataFrame, distance: int = 3, bucket: int = 2048) -> DataFrame:
         last = len(bits) <= BITS // n ** 2 or n == 1
         var = keyed.select("fp", _variants(segments).alias("v")).select("fp", "v.seg", "v.k")
         sizes = var.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        members = common.stage(var.join(sizes, "k"), "variants")
+        # Spark takes the variants for as small as the fingerprints they are made of, and would broadcast them
+        members = common.stage(var.hint("merge").join(sizes.hint("merge"), "k"), "variants")
         near = (members if last else members.where(F.col("n") <= bucket)).select("k", "fp")
         found.append(near.repartition("k").sortWithinPartitions("k", "fp").mapInArrow(_compare(distance), "a long, b long"))
         if not last:
