@@ -284,3 +284,28 @@ def test_one_pass_schema_reports_conflicts_and_bad_files(spark, tmp_dir):
     assert SRC.infer_schema(spark, write_files(f"{tmp_dir}/n", {"bad": "{"}))[0].fields == []
     df = SRC.read_json_document(spark, path)        # what disagrees is still there to read
     assert df.count() == 4
+
+
+@pytest.mark.parametrize("stage", ["_stage_log_documents", "incremental_documents", "_stage_orders"])
+def test_staged_documents_are_compressed(spark, tmp_path, monkeypatch, stage):
+    """The multi-line reader reads plain files many times over where objects stand under string fields."""
+    from unfurl import catalog
+    root = "/root/testdata/sf0.001"
+    monkeypatch.setattr(catalog, "_stage", lambda spark, name: f"{tmp_path}/{name}")
+    if stage == "_stage_orders":
+        catalog._stage_orders(spark, root, nested=True)
+    elif stage == "incremental_documents":
+        catalog.q_incremental_documents(spark, root)
+    else:
+        catalog._stage_log_documents(spark, root, "log_docs", [])
+    docs = glob.glob(f"{tmp_path}/**/docs/part-*", recursive=True)
+    assert docs and all(f.endswith(".gz") for f in docs)
+
+
+def test_compressed_documents_read_like_plain_ones(spark, tmp_dir):
+    from unfurl.sources import derived as D
+    df = spark.sql("SELECT cast(id % 4 as string) id, id n, named_struct('k', id, 'x', 'a \"q\"') o FROM range(500)")
+    schema = "id string, n bigint, o string"
+    read = lambda p: sorted(tuple(r) for r in SRC.read_json_array(spark, p, schema, recursive=True).collect())
+    plain, packed = (read(D.stage_json_array(df, f"{tmp_dir}/{c}", compression=c)) for c in (None, "gzip"))
+    assert plain == packed and len(plain) == 500

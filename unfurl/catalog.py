@@ -682,7 +682,7 @@ def q_read_daily_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stage_log_documents(spark: SparkSession, sf_dir: str, name: str, drop: list[str]) -> str:
     recs = D.log_records(D.tables(spark, sf_dir).events).drop("day", *drop)
-    return D.stage_json_array(recs, _stage(spark, name))
+    return D.stage_json_array(recs, _stage(spark, name), compression="gzip")
 
 
 @register("log_etl_documents", SQL_LOG_OUTPUT)
@@ -722,9 +722,9 @@ def q_hit_flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stage_orders(spark: SparkSession, sf_dir: str, nested: bool, doc_bytes: int = D.DOC_BYTES):
     items, address, buyer, orders = _order_inputs(spark, sf_dir)
     stage = D.stage_json_nested if nested else D.stage_json_array
-    paths = [stage(df, _stage(spark, n), doc_bytes) for df, n in
+    paths = [stage(df, _stage(spark, n), doc_bytes, "gzip") for df, n in
              [(items, "order_items"), (address, "order_address"), (buyer, "order_buyer_info")]]
-    paths.append(D.stage_json_array(orders, _stage(spark, "orders"), doc_bytes))
+    paths.append(D.stage_json_array(orders, _stage(spark, "orders"), doc_bytes, "gzip"))
     return paths
 
 
@@ -894,7 +894,7 @@ def q_incremental_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, sink, ckpt = (_stage(spark, f"inc_docs_{n}") for n in ("src", "sink", "ckpt"))
     job = lambda df: log_records_etl(df, method_default="BAD")
     for i, drop in enumerate((recs.where(F.col("day") < CUT), recs.where(F.col("day") >= CUT))):
-        D.stage_json_array(drop.drop("day"), f"{src}/drop={i}")
+        D.stage_json_array(drop.drop("day"), f"{src}/drop={i}", compression="gzip")
         run_incremental(file_stream(spark, f"{src}/*/docs", LOG_LINE_SCHEMA, multiLine="true"), job, sink, ckpt)
     return spark.read.schema(job(SRC.read_json_array(spark, f"{src}/*/docs", LOG_LINE_SCHEMA)).schema).parquet(sink)
 

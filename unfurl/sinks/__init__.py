@@ -50,10 +50,13 @@ def write_parquet(df: DataFrame, path: str, *, mode: str,
 
 
 def write_text(df: DataFrame, path: str, *, mode: str,
-               partition_by: Sequence[str] | None = None, file_per_row: bool = False) -> None:
+               partition_by: Sequence[str] | None = None, file_per_row: bool = False,
+               compression: str | None = None) -> None:
     """Text lines (one string column), used to lay out raw log files. With
     ``file_per_row`` every row is a file of its own (a whole document)."""
     w = _prepare(df, mode, partition_by, False)
+    if compression:
+        w = w.option("compression", compression)
     (w.option("maxRecordsPerFile", 1) if file_per_row else w).text(path)
 
 

@@ -251,17 +251,20 @@ def _documents(df: DataFrame, doc_bytes: int, before: str, after: str) -> DataFr
     return docs.select(F.concat(F.lit(before), F.array_join("items", ","), F.lit(after)).alias("value"))
 
 
-def stage_json_array(df: DataFrame, path: str, doc_bytes: int = DOC_BYTES) -> str:
+def stage_json_array(df: DataFrame, path: str, doc_bytes: int = DOC_BYTES, compression: str | None = None) -> str:
     """Write ``df`` as root-array documents ``[{...}, ...]``, one per file, in a
-    subfolder (read back with ``recursive=True``). Every row is written."""
-    write_text(_documents(df, doc_bytes, "[", "]"), f"{path}/docs", mode="overwrite", file_per_row=True)
+    subfolder (read back with ``recursive=True``). Every row is written.
+
+    ``compression="gzip"``: Spark's multi-line reader goes back into a plain file for every
+    object under a string field, and reads it some forty times over; a compressed one it reads once."""
+    write_text(_documents(df, doc_bytes, "[", "]"), f"{path}/docs", mode="overwrite", file_per_row=True, compression=compression)
     return path
 
 
-def stage_json_nested(df: DataFrame, path: str, doc_bytes: int = DOC_BYTES) -> str:
+def stage_json_nested(df: DataFrame, path: str, doc_bytes: int = DOC_BYTES, compression: str | None = None) -> str:
     """Like ``stage_json_array`` with layout ``[[{...}, ...], []]``: records in
     the first inner array, an empty second one."""
-    write_text(_documents(df, doc_bytes, "[[", "],[]]"), f"{path}/docs", mode="overwrite", file_per_row=True)
+    write_text(_documents(df, doc_bytes, "[[", "],[]]"), f"{path}/docs", mode="overwrite", file_per_row=True, compression=compression)
     return path
 
 
