@@ -290,7 +290,13 @@ def test_one_pass_schema_reports_conflicts_and_bad_files(spark, tmp_dir):
 def test_staged_documents_are_compressed(spark, tmp_path, monkeypatch, stage):
     """The multi-line reader reads plain files many times over where objects stand under string fields."""
     from unfurl import catalog
-    root = "/root/testdata/sf0.001"
+    root = f"{tmp_path}/tables"
+    spark.sql("""SELECT id event_id, timestamp'2024-01-15 12:00:00' + make_interval(0, 0, 0, 0, id) ts, id user_id, 'purchase' event_type,
+                 10D value, '{"k": 1}' props FROM range(40)""").write.parquet(f"{root}/events.parquet")
+    spark.sql("SELECT id l_orderkey, id l_partkey, 1 l_linenumber, 2D l_quantity, 3D l_extendedprice FROM range(9)").write.parquet(f"{root}/lineitem.parquet")
+    spark.sql("SELECT id o_orderkey, id o_custkey, timestamp'2024-01-15 12:00:00' o_orderdate, 'O' o_orderstatus FROM range(9)").write.parquet(f"{root}/orders.parquet")
+    spark.sql("SELECT id c_custkey, 'C' c_name, 0 c_nationkey, 'M' c_mktsegment FROM range(9)").write.parquet(f"{root}/customer.parquet")
+    spark.sql("SELECT 0 n_nationkey, 'N' n_name").write.parquet(f"{root}/nation.parquet")
     monkeypatch.setattr(catalog, "_stage", lambda spark, name: f"{tmp_path}/{name}")
     if stage == "_stage_orders":
         catalog._stage_orders(spark, root, nested=True)
