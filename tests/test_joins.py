@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -207,3 +208,27 @@ def test_distinct_rows_nested(spark):
     df = spark.createDataFrame([("a", [1], (1,)), ("a", [1], (1,)), ("a", [2], (1,))],
                                "k string, arr array<int>, s struct<x: int>")
     assert distinct_rows(df).count() == 2
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    from unfurl import catalog
+    from unfurl.operators.layout import bucket_count
+
+    assert [bucket_count(n) for n in (0, 600_000, 2_000_001, 36_000_000)] == [8, 8, 9, 144]
+    seen = {}
+
+    class Stop(Exception):
+        pass
+
+    def lay_out(base, dims, name, buckets):
+        seen["buckets"] = buckets
+        raise Stop
+
+    monkeypatch.setattr(catalog, "lay_out", lay_out)
+    monkeypatch.setattr(catalog, "_order_inputs", lambda *a: [spark.range(0)] * 4)
+    monkeypatch.setattr(catalog, "flatten_items", lambda df: df)
+    monkeypatch.setattr(catalog, "order_dims", lambda *a: [])
+    monkeypatch.setattr(catalog.D, "tables", lambda *a: type("T", (), {"lineitem": spark.range(5_000_000)}))
+    with pytest.raises(Stop):
+        catalog.q_order_enrich_bucketed(spark, "")
+    assert seen == {"buckets": 20}

@@ -47,6 +47,11 @@ def _hot_of_all(frames: Sequence[DataFrame], key: str) -> HotKeys:
     return HotKeys(out)
 
 
+def bucket_count(rows: int, per_bucket: int = 250_000, least: int = 8) -> int:
+    """Buckets for ``rows`` rows: a bucket is one task, so their number grows with the rows."""
+    return max(least, -(-rows // per_bucket))
+
+
 def lay_out(base: DataFrame, dims: Sequence[Dim], name: str, buckets: int, hot: HotKeys | None = None) -> Layout:
     """Write ``base`` and ``dims`` (all with one key) under the shared folder, bucketed by the key.
 
