@@ -770,7 +770,7 @@ def q_sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unpartitioned JSON output of PL2, read back."""
     out = q_order_enrich_nodedup(spark, sf_dir)
     path = _stage(spark, "sink_json")
-    write_json(out, path, mode="overwrite")
+    write_json(out, path, mode="overwrite", compression="gzip")
     return spark.read.schema(out.schema).json(path)
 
 
