@@ -60,7 +60,7 @@ class CommittedCounts(StageCounts):
 
     def track(self, df: DataFrame, name: str, where: Column | None = None) -> DataFrame:
         path = f"{self._root}/{name}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)    # nine stages of an order job are much to write
         back = self._spark.read.schema(df.schema).parquet(path)
         self._where[name], self._frames[name] = where, back
         return back
