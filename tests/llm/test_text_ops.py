@@ -300,3 +300,27 @@ def test_simhash_variants_are_not_broadcast(spark, monkeypatch):
     fps = spark.createDataFrame([(x,) for x in (0, 1, 3, 1 << 40)], "fp long")
     assert len(simhash.links(fps).collect()) >= 2
     assert "SortMergeJoin" in plans["variants"] and "Broadcast" not in plans["variants"]
+
+
+def test_simhash_small_tables_take_few_tasks(spark, make, corpus, monkeypatch):
+    """However many shuffle partitions there are, a few rows are not written by as many tasks."""
+    files, plain = {}, simhash.common.stage
+
+    def staged(df, name):
+        out = plain(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(simhash.common, "stage", staged)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 37)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = simhash.simhash_components(make(corpus))
+        got = sorted(((r.doc, f"{r.fp % (1 << 64):016x}", r.component) for r in out.collect()), key=str)
+        assert out.rdd.getNumPartitions() <= 4
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == brute.linked_components(corpus)
+    assert {n: k for n, k in files.items() if n != "fingerprints" and k > 4} == {}

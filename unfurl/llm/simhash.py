@@ -79,7 +79,8 @@ def links(fps: DataFrame, distance: int = 3, bucket: int = 2048) -> DataFrame:
     cut of 64 bits leaves 11 that may differ, so its buckets cannot be larger than 2048.
     Nothing is dropped.
     """
-    n, found = max(1, distance // 2 + 1), []     # of n segments one differs by at most one bit
+    n, found, met = max(1, distance // 2 + 1), [], 0     # of n segments one differs by at most one bit
+    total = fps.count()
     # a fingerprint becomes 64 rows and more: dealt to all tasks first, by a number that is kept
     fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     todo = [(list(range(BITS)), fps.select("fp", F.lit(0).cast("long").alias("k")))]
@@ -90,17 +91,20 @@ def links(fps: DataFrame, distance: int = 3, bucket: int = 2048) -> DataFrame:
         var = keyed.select("fp", _variants(segments).alias("v")).select("fp", "v.seg", "v.k")
         sizes = var.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         # Spark takes the variants for as small as the fingerprints they are made of, and would broadcast them
-        members = common.stage(var.hint("merge").join(sizes.hint("merge"), "k"), "variants")
+        members = common.stage(common.fewer_tasks(var.hint("merge").join(sizes.hint("merge"), "k"), total * len(bits)), "variants")
         near = (members if last else members.where(F.col("n") <= bucket)).select("k", "fp")
-        found.append(near.repartition("k").sortWithinPartitions("k", "fp").mapInArrow(_compare(distance), "a long, b long"))
+        compared = near.repartition("k").sortWithinPartitions("k", "fp").mapInArrow(_compare(distance), "a long, b long")
+        rows = near.count()
+        found.append(common.fewer_tasks(compared, rows))
+        met += rows
         if not last:
-            hot = [r.seg for r in members.where(F.col("n") > bucket).select("seg").distinct().collect()]
+            hot = members.where(F.col("n") > bucket).agg(F.collect_set("seg").alias("segs")).first().segs
             todo += [([x for x in bits if x not in segments[i]],
                       members.where((F.col("n") > bucket) & (F.col("seg") == i)).select("fp", "k")) for i in hot]
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
-    return out.distinct()
+    return common.fewer_tasks(out.distinct(), met)     # a member has one edge at most: it is met once
 
 
 def _compare(distance: int):
@@ -158,13 +162,14 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     none (null). An empty table gives no rows.
     """
     fps = common.stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    least = common.stage(fps.groupBy("fp").agg(F.min("doc").alias("doc")), "distinct_fp")
+    rows = fps.count()
+    least = common.stage(common.fewer_tasks(fps.groupBy("fp").agg(F.min("doc").alias("doc")), rows), "distinct_fp")
     roots = common.components(common.stage(links(least.select("fp"), distance), "links"))
     rooted = (least.join(roots, least["fp"] == roots["node"], "left")
               .select("fp", "doc", F.coalesce("root", "fp").alias("root")))
     small = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     named = rooted.join(small, "root").select(F.col("fp").alias("fp2"), "component")
-    return fps.join(named, F.col("fp") == F.col("fp2")).select("doc", "fp", "component")
+    return common.fewer_tasks(fps.join(named, F.col("fp") == F.col("fp2")).select("doc", "fp", "component"), rows)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
