@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import types as T
 
 from conftest import plan_text
-from unfurl.sinks import write_json, write_parquet
+from unfurl.sinks import read_folders, write_json, write_parquet
 from unfurl.sources import files as SRC
 
 REC = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType())])
@@ -188,6 +188,39 @@ def test_partitioned_parquet_has_few_files(spark, tmp_dir):
     assert len(glob.glob(f"{tmp_dir}/pq/n=3/*.parquet")) <= 2
 
 
+def test_many_small_folders_use_all_cores(spark, tmp_dir):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    merge = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+    before = spark.conf.get(merge, None)
+    try:
+        df = spark.range(600).selectExpr("id", "concat('t', id % 300) as k").repartition(3)
+        for write, fmt in ((write_json, "json"), (write_parquet, "parquet")):
+            write(df, f"{tmp_dir}/{fmt}", mode="overwrite", partition_by=["k"])
+            files = glob.glob(f"{tmp_dir}/{fmt}/*/part-*")
+            assert len(files) == 300                                    # one a folder
+            assert len({os.path.basename(f)[:10] for f in files}) >= 4  # written by as many tasks as there are cores
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert spark.conf.get(merge, None) == before
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_dir):
+    write_json(spark.range(120).selectExpr("id", "concat('t', id) as k"), f"{tmp_dir}/l", mode="overwrite", partition_by=["k"])
+    sc, schema = spark.sparkContext, T.StructType([T.StructField("id", T.LongType()), T.StructField("k", T.StringType())])
+    sc.setJobGroup("listing", "listing")
+    try:
+        back = read_folders(spark, f"{tmp_dir}/l", schema, "json")
+        tracker = sc.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+        tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    assert tasks and max(tasks) <= 16
+    assert sorted(r.k for r in back.collect()) == sorted(f"t{i}" for i in range(120))
+
+
 def test_partition_by_full_timestamp_escapes_colon(spark, tmp_dir):
     # One folder per distinct timestamp; ':' is escaped in folder names
     df = spark.createDataFrame([("a", "2021-10-22T05:50:08Z")], "id string, ts string")
