@@ -6,10 +6,11 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import plan_text
-from unfurl.sinks import read_folders, write_json, write_parquet
+from unfurl.sinks import read_folders, save_many_folders, write_json, write_parquet
 from unfurl.sources import files as SRC
 
 REC = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType())])
@@ -221,6 +222,62 @@ def test_many_folders_are_listed_by_few_tasks(spark, tmp_dir):
     assert sorted(r.k for r in back.collect()) == sorted(f"t{i}" for i in range(120))
 
 
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+@pytest.mark.parametrize("keys", [["day"], ["n", "day"]])
+def test_many_folders_are_written_as_spark_writes_them(spark, tmp_dir, fmt, keys):
+    rows = [("a", None, "2024-01-01", 1.5), ("b", 2, "", None), ("c", 3, None, -0.0), (None, None, "x/y:z%[]^ \u00e9#'=\\\x7f\n", None),
+            ("line\nbreak \u20ac", 4, "2024-01-01", 2.0), ("", 5, "  ", float("nan"))] * 3
+    df = spark.createDataFrame(rows, "id string, n long, day string, f double").selectExpr(
+        "*", "struct(id, array(n, n) q) s", "date'2024-01-02' d", "timestamp'2024-01-02 03:04:05.123456' t", "cast(n as decimal(20,3)) c")
+    ours, sparks = f"{tmp_dir}/new/ours", f"{tmp_dir}/sparks"
+    for _ in range(2):      # the second time in place of the first
+        assert save_many_folders(df, ours, fmt, "overwrite", keys)
+    df.write.partitionBy(*keys).format(fmt).save(sparks)
+    folders = lambda p: {os.path.relpath(d, p) for d, _, names in os.walk(p) if any(f.startswith("part-") for f in names)}
+    assert folders(ours) == folders(sparks) and os.listdir(f"{tmp_dir}/new") == ["ours"]
+    if fmt == "json":
+        lines = lambda p: sorted(x for f in glob.glob(f"{p}/**/part-*", recursive=True) for x in open(f, newline="").read().split("\n"))
+        assert [x for x in lines(ours) if x] == [x for x in lines(sparks) if x]
+    back = [spark.read.schema(df.schema).format(fmt).load(p) for p in (ours, sparks)]
+    assert sorted(map(repr, back[0].collect())) == sorted(map(repr, back[1].collect()))
+
+
+def test_many_folders_open_no_file_through_hadoop(spark, tmp_dir):
+    df = spark.range(600).selectExpr("id", "concat('t', id % 300) as k").repartition(3)
+    write_json(df, f"{tmp_dir}/j", mode="overwrite", partition_by=["k"], many_folders=True)
+    assert len(glob.glob(f"{tmp_dir}/j/*/part-*.json")) == 300
+    assert not glob.glob(f"{tmp_dir}/j/*/.*")       # Hadoop's local files have a checksum file each
+    with pytest.raises(Exception):
+        write_json(df, f"{tmp_dir}/j", mode="error", partition_by=["k"], many_folders=True)
+    write_json(df, f"{tmp_dir}/j", mode="append", partition_by=["k"], many_folders=True)       # by Spark's writer
+    assert spark.read.json(f"{tmp_dir}/j").count() == 1200
+
+
+def test_a_failed_write_of_many_folders_keeps_the_old_table(spark, tmp_dir):
+    df = spark.range(50).selectExpr("id", "concat('t', id) as k")
+    write_json(df, f"{tmp_dir}/f", mode="overwrite", partition_by=["k"], many_folders=True)
+    bad = df.selectExpr("if(id = 49, cast(raise_error('no') as bigint), id) id", "k")
+    with pytest.raises(Exception):
+        write_json(bad, f"{tmp_dir}/f", mode="overwrite", partition_by=["k"], many_folders=True)
+    assert os.listdir(tmp_dir) == ["f"] and spark.read.json(f"{tmp_dir}/f").count() == 50
+
+
+def test_small_files_share_tasks_and_large_ones_do_not(spark, tmp_dir):
+    df = spark.range(40000).selectExpr("id", "if(id < 400, concat('t', id), concat('big', id % 2)) k", "repeat(uuid(), 2) v")
+    write_json(df, f"{tmp_dir}/m", mode="overwrite", partition_by=["k"])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        back = read_folders(spark, f"{tmp_dir}/m", df.schema, "json")
+        plain = spark.read.schema(df.schema).json(f"{tmp_dir}/m")
+        assert back.rdd.getNumPartitions() <= 20 < plain.rdd.getNumPartitions()
+        per_task = [r.n for r in back.where("k LIKE 'big%'").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert max(per_task) <= 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert back.schema == plain.schema and back.count() == 40000 and back.exceptAll(plain).isEmpty()
+
+
 def test_partition_by_full_timestamp_escapes_colon(spark, tmp_dir):
     # One folder per distinct timestamp; ':' is escaped in folder names
     df = spark.createDataFrame([("a", "2021-10-22T05:50:08Z")], "id string, ts string")
