@@ -17,6 +17,7 @@ from unfurl.plans.orders import order_enrich
 from unfurl.sinks.partitions import commits, in_partitions, is_committed, list_files, replace_partitions
 from unfurl.sources.arrivals import ArrivalLedger, read_present_days
 from unfurl.streaming.incremental import file_stream, run_batches, tagged_union, untagged
+from unfurl.session import shared_path
 from unfurl.streaming.orders import INPUTS, OrderTable, run_orders
 from unfurl.streaming.state import DistinctSink, SumsSink, row_digest
 
@@ -74,6 +75,25 @@ def test_late_records_reach_written_orders(spark, tmp_path):
         assert rows(table.read().select(want.columns)) == rows(want.select(names).distinct())
 
 
+def test_a_batch_is_not_kept_by_executors(spark, tmp_path, monkeypatch):
+    """The four writes of a batch read staged files; blocks kept by executors would grow with the batch."""
+    import unfurl.streaming.state as S
+    from conftest import plan_text
+    rng = random.Random(3)
+    schemas = {n: spark.createDataFrame([], s).schema for n, s in SCHEMAS.items()}
+    table = OrderTable(spark, f"{tmp_path}/t", schemas)
+    plans, put = [], S.BatchTable.put
+
+    def seen(self, df, *args, **kw):
+        plans.append(plan_text(df))
+        put(self, df, *args, **kw)
+
+    monkeypatch.setattr(S.BatchTable, "put", seen)
+    table.update(tagged_union({n: spark.createDataFrame(some(rng, n, 9), schemas[n]) for n in INPUTS}), 0)
+    assert len(plans) == 4 and all("InMemoryTableScan" not in p and "Scan parquet" in p for p in plans)
+    assert os.listdir(shared_path(spark, "orders", "batch").removeprefix("file:")) == []       # gone when the writes are done
+
+
 def test_interrupted_update_is_repaired(spark, tmp_path, monkeypatch):
     """A run that dies after some folders were replaced, before its commit, is run again."""
     import unfurl.streaming.orders as O
